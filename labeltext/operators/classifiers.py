@@ -181,7 +181,10 @@ def margins(
     keep: list[str] | None = None,
 ) -> DataFrame:
     """key, kept columns and ``margin_<model>`` per non-constant model. Each document's terms
-    shrink to one row of sums; documents without known terms get the intercept."""
+    shrink to one row of sums; documents without known terms get the intercept.
+
+    Margins are rounded to 12 digits, so that copies of a text tie exactly, in whatever order
+    their terms were added up."""
     linear = [h for h in models.heads if h.constant is None]
     columns = [f"w_{h.model}" for h in linear]
     weighted = raw_weights(df, models.terms, models.params, key, text, per_term=columns)
@@ -193,9 +196,9 @@ def margins(
         key,
         *(keep or []),
         *[
-            (F.coalesce(F.col(c) / F.col("_length"), F.lit(0.0)) + F.lit(h.intercept)).alias(
-                f"margin_{h.model}"
-            )
+            F.round(
+                F.coalesce(F.col(c) / F.col("_length"), F.lit(0.0)) + F.lit(h.intercept), 12
+            ).alias(f"margin_{h.model}")
             for h, c in zip(linear, columns)
         ],
     )
