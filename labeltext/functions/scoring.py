@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from labeltext.functions.text import clean_text, strip
+from labeltext.functions.text import clean_text
 from labeltext.schema import MAX_REQUEST_LENGTH, MIN_TEXT_LENGTH
 
 # Names that appear in results.
@@ -20,14 +20,15 @@ def reject_reason(
     min_length: int = MIN_TEXT_LENGTH,
     max_length: int = MAX_REQUEST_LENGTH,
 ) -> Column:
-    """Why a request text cannot be scored; null when it can."""
-    stripped = strip(column)
+    """Why a request text cannot be scored; null when it can. Clean text is empty exactly
+    for a blank text."""
+    size = F.length(clean_text(column))
     return (
         F.when(column.isNull(), "missing")
         .when(F.length(column) < 1, "empty")
         .when(F.length(column) > max_length, "too_long")
-        .when(F.length(stripped) == 0, "blank")
-        .when(F.length(clean_text(column)) < min_length, "too_short")
+        .when(size == 0, "blank")
+        .when(size < min_length, "too_short")
     )
 
 

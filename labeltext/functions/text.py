@@ -10,9 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Character classes that decide the results.
-WHITESPACE = (
-    r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
-)
+WHITESPACE = r"[\p{IsWhite_Space}\x1c-\x1f]+"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 NUMBER = r"^[+-]?(\d(_?\d)*(\.(\d(_?\d)*)?)?|\.\d(_?\d)*)([eE][+-]?\d(_?\d)*)?$"
 ASCII = r"^[\x00-\x7f]*$"

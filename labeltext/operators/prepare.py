@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labeltext.functions.text import clean_text, normalize_label
-from labeltext.schema import KEY, LABEL, MIN_TEXT_LENGTH, TEXT, require_columns
+from labeltext.schema import (
+    KEY,
+    LABEL,
+    MIN_TEXT_LENGTH,
+    TEXT,
+    VALID_LABELS,
+    require_columns,
+)
 
 
 def _digest(text: Column) -> Column:
@@ -14,6 +22,13 @@ def _digest(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def _label_of(df: DataFrame, label: str) -> Column:
+    """Normalised label; integer columns need no parsing."""
+    if isinstance(df.schema[label].dataType, T.IntegralType):
+        return F.when(F.col(label).isin(VALID_LABELS), F.col(label).cast("bigint"))
+    return normalize_label(F.col(label))
+
+
 def cleaned_rows(
     df: DataFrame,
     text: str = TEXT,
@@ -26,11 +41,13 @@ def cleaned_rows(
     """Canonical columns with clean text and label; rows without a usable label or with too
     short a text are dropped, copies stay."""
     require_columns(df, [text, label])
+    clean = clean_text(F.col(text), lowercase, normalize_whitespace).alias(TEXT)
+    # Going through a one-row array keeps the filters above the cleaning. Pushed below, they
+    # would clean every text a second time, and before the join with the labels.
     return (
         df.select(
             *(keep or []),
-            clean_text(F.col(text), lowercase, normalize_whitespace).alias(TEXT),
-            normalize_label(F.col(label)).alias(LABEL),
+            F.inline(F.array(F.struct(clean, _label_of(df, label).alias(LABEL)))),
         )
         .where(F.col(LABEL).isNotNull())
         .where(F.length(TEXT) >= min_length)
@@ -89,9 +106,7 @@ def cleaning_summary(
     one pass over digests."""
     require_columns(df, [text, label])
     cleaned = clean_text(F.col(text))
-    flags = df.select(
-        cleaned.alias("_text"), normalize_label(F.col(label)).alias("_label")
-    ).select(
+    flags = df.select(cleaned.alias("_text"), _label_of(df, label).alias("_label")).select(
         F.when(
             F.col("_label").isNotNull() & (F.length("_text") >= min_length),
             F.struct(_digest(F.col("_text")).alias("digest"), F.col("_label").alias("label")),
