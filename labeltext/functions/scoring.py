@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from labeltext.functions.text import clean_text
 from labeltext.schema import MAX_REQUEST_LENGTH, MIN_TEXT_LENGTH
 
 # Names that appear in results.
@@ -16,19 +15,19 @@ MARGIN = "decision_function"
 
 
 def reject_reason(
-    column: Column,
+    raw: Column,
+    cleaned: Column,
     min_length: int = MIN_TEXT_LENGTH,
     max_length: int = MAX_REQUEST_LENGTH,
 ) -> Column:
-    """Why a request text cannot be scored; null when it can. Clean text is empty exactly
-    for a blank text."""
-    size = F.length(clean_text(column))
+    """Why a request text cannot be scored; null when it can. The clean text is empty exactly
+    for a blank one."""
     return (
-        F.when(column.isNull(), "missing")
-        .when(F.length(column) < 1, "empty")
-        .when(F.length(column) > max_length, "too_long")
-        .when(size == 0, "blank")
-        .when(size < min_length, "too_short")
+        F.when(raw.isNull(), "missing")
+        .when(F.length(raw) < 1, "empty")
+        .when(F.length(raw) > max_length, "too_long")
+        .when(F.length(cleaned) == 0, "blank")
+        .when(F.length(cleaned) < min_length, "too_short")
     )
 
 

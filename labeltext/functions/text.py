@@ -71,7 +71,7 @@ def tokens(column: Column) -> Column:
     return F.regexp_extract_all(column, F.lit(TOKEN), F.lit(0))
 
 
-def analyzed_tokens(column: Column, lowercase: bool = True, accents: bool = True) -> Column:
-    """Tokens as the features see them: lower-cased and with accents folded."""
+def analyzed_text(column: Column, lowercase: bool = True, accents: bool = True) -> Column:
+    """Text as the features see it: lower-cased and with accents folded."""
     text = F.lower(column) if lowercase else column
-    return tokens(fold_accents(text) if accents else text)
+    return fold_accents(text) if accents else text

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labeltext.functions.text import analyzed_tokens
+from labeltext.functions.text import analyzed_text, tokens
 from labeltext.session import bounded
 from labeltext.schema import KEY, MAX_DF, MAX_FEATURES, MIN_DF, NGRAM_RANGE, TEXT
 
@@ -35,10 +35,15 @@ def terms(
     low, high = params.ngram_range
     carried = [key, *(keep or [])]
     # Texts move once, by key, so that all work on one document stays in one partition. The
-    # step falls away if the table is already partitioned like that.
-    tokenized = df.select(*carried, text).repartition(key).select(
-        *carried,
-        analyzed_tokens(F.col(text), params.lowercase, params.strip_accents).alias("_tokens"),
+    # step falls away if the table is already partitioned like that. Folding comes before:
+    # Spark forgets the partitioning behind a Python function.
+    tokenized = (
+        df.select(
+            *carried,
+            analyzed_text(F.col(text), params.lowercase, params.strip_accents).alias("_text"),
+        )
+        .repartition(key)
+        .select(*carried, tokens(F.col("_text")).alias("_tokens"))
     )
     # Token i next to its successors, then one row per start position and n-gram length.
     shifted = [

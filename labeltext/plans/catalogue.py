@@ -13,12 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labeltext.functions.scoring import (
-    MARGIN,
-    PROBABILITY,
-    confidence_text,
-    reject_reason,
-)
+from labeltext.functions.scoring import MARGIN, PROBABILITY, confidence_text
 from labeltext.functions.text import clean_text, normalize_label
 from labeltext.operators import counts, drift, features, metrics, prepare, ranking, sampling
 from labeltext.operators.classifiers import (
@@ -28,14 +23,14 @@ from labeltext.operators.classifiers import (
     majority_label,
     predictions,
 )
-from labeltext.operators.manifest import label_by_source, source_manifest
+from labeltext.operators.manifest import label_by_source, number_blocks, source_manifest
 from labeltext.operators.sampling import HOLDOUT, PHASE1, PHASE2
 from labeltext.plans import preparation, scoring, training
 from labeltext.plans.drift_report import drift_report
 from labeltext.schema import KEY, LABEL, SEED, SOURCE, TEXT
 from labeltext.session import checkpoint_dir, cut_lineage
 from labeltext.sources.files import jsonl_view
-from labeltext.sources.tables import corpus, labelled, manifest, read_table
+from labeltext.sources.tables import corpus, manifest, read_table
 from labeltext.streaming.jobs import drift_stream, read_messages, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -254,8 +249,6 @@ def manifest_of_sources(spark: SparkSession, folder: str) -> DataFrame:
         SOURCE, position.alias("source_pos"), (F.col("rank") - 1).alias("source_row_index"), LABEL
     )
     sources = cut_lineage(sources)
-    from labeltext.operators.manifest import number_blocks
-
     return source_manifest(sources, number_blocks(sources).select(KEY, LABEL))
 
 
@@ -301,13 +294,10 @@ def request_screen(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("d"), "doc_id").alias("message_id"), "text"
     )
     requests = documents.unionByName(messages(spark, folder))
-    reason = reject_reason(F.col("text"))
-    return requests.select(
+    return scoring.screen(requests).select(
         "message_id",
-        reason.alias("reject_reason"),
-        F.when(reason.isNull(), F.length(clean_text(F.col("text")))).cast("bigint").alias(
-            "normalized_text_length"
-        ),
+        "reject_reason",
+        F.length(TEXT).cast("bigint").alias("normalized_text_length"),
     )
 
 
@@ -600,13 +590,9 @@ def batch_scores(spark: SparkSession, folder: str) -> DataFrame:
 # ---- training runs and streams ---------------------------------------------------------
 
 
-def _bench_options() -> dict[str, dict]:
-    return {"logistic_regression": {"C": 1.0}, "linear_svc": {"C": 1.0}}
-
-
 @query
 def train_four_models(spark: SparkSession, folder: str) -> DataFrame:
-    run = training.train_and_compare(modelling(spark, folder), options=_bench_options())
+    run = training.train_and_compare(modelling(spark, folder))
     return metrics.model_comparison(run.report)
 
 
@@ -676,5 +662,3 @@ def stream_drift(spark: SparkSession, folder: str) -> DataFrame:
     ).awaitTermination()
     return rounded(spark.read.parquet(f"{out}/reports"), "value", digits=8).drop("batch_id")
 
-
-__all__ = ["QUERIES", "labelled"]

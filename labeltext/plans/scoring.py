@@ -20,10 +20,15 @@ MODEL_VERSION = "phase2_linear_svc"
 
 
 def screen(messages: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``reject_reason`` (null: accepted) and the cleaned text."""
+    """Add ``reject_reason`` (null: accepted) and the cleaned text, null if rejected."""
     require_columns(messages, [text])
-    return messages.withColumn("reject_reason", reject_reason(F.col(text))).withColumn(
-        TEXT, F.when(F.col("reject_reason").isNull(), clean_text(F.col(text)))
+    # The one-row array keeps the text from being cleaned once per use.
+    cleaned = F.inline(F.array(F.struct(clean_text(F.col(text)).alias("_clean"))))
+    return (
+        messages.select("*", cleaned)
+        .withColumn("reject_reason", reject_reason(F.col(text), F.col("_clean")))
+        .withColumn(TEXT, F.when(F.col("reject_reason").isNull(), F.col("_clean")))
+        .drop("_clean")
     )
 
 
