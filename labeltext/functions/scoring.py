@@ -71,5 +71,6 @@ def confidence_percent(score: Column, score_type: Column) -> Column:
 
 
 def confidence_text(score: Column, score_type: Column) -> Column:
-    text = F.format_string("%.1f%%", confidence_percent(score, score_type))
+    # Half to even first: Java's format would round halves up.
+    text = F.format_string("%.1f%%", F.bround(confidence_percent(score, score_type), 1))
     return F.when(score.isNull(), "N/A").otherwise(text)

@@ -42,8 +42,8 @@ def js_distance(pairs: DataFrame) -> DataFrame:
     """Jensen-Shannon distance (natural log) of the two count columns, as one row; null if a
     side is empty."""
     totals = pairs.agg(F.sum("ref_n").alias("ref"), F.sum("cur_n").alias("cur"))
-    p = F.col("ref_n") / totals.select("ref").scalar()
-    q = F.col("cur_n") / totals.select("cur").scalar()
+    p = F.try_divide("ref_n", totals.select("ref").scalar())
+    q = F.try_divide("cur_n", totals.select("cur").scalar())
 
     def term(x: Column, y: Column) -> Column:
         return F.when(x > 0, 0.5 * x * F.ln(2 * x / (x + y))).when(x == 0, 0.0)
@@ -134,7 +134,7 @@ def ks_test(
     sums = running_sums(pairs, [], LENGTH, ["ref_n", "cur_n"])
     last = sums.agg(F.max("cum_ref_n").alias("ref"), F.max("cum_cur_n").alias("cur"))
     ref, cur = last.select("ref").scalar(), last.select("cur").scalar()
-    gap = F.abs(F.col("cum_ref_n") / ref - F.col("cum_cur_n") / cur)
+    gap = F.abs(F.try_divide("cum_ref_n", ref) - F.try_divide("cum_cur_n", cur))
     return (
         sums.select(gap.alias("gap"), ref.alias("ref"), cur.alias("cur"))
         .agg(
@@ -142,7 +142,10 @@ def ks_test(
             F.max("ref").alias("ref"),
             F.max("cur").alias("cur"),
         )
-        .withColumn("effective", F.sqrt(F.col("ref") * F.col("cur") / (F.col("ref") + F.col("cur"))))
+        .withColumn(
+            "effective",
+            F.sqrt(F.try_divide(F.col("ref") * F.col("cur"), F.col("ref") + F.col("cur"))),
+        )
         .select(
             "ks_statistic",
             kolmogorov_tail(F.col("effective") * F.col("ks_statistic")).alias("ks_pvalue"),
@@ -212,7 +215,9 @@ def share_table(
         "ref_n",
         "cur_n",
         *[
-            F.round(F.col(f"{s}_n") / F.sum(f"{s}_n").over(everything), 4).alias(f"{s}_share")
+            F.round(F.try_divide(f"{s}_n", F.sum(f"{s}_n").over(everything)), 4).alias(
+                f"{s}_share"
+            )
             for s in ("ref", "cur")
         ],
     )

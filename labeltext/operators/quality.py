@@ -41,7 +41,7 @@ def _judge(measures: DataFrame, missing_columns: list[str]) -> DataFrame:
         .when((F.col("label_0") == 0) | (F.col("label_1") == 0), "missing_class")
         .when(F.col("short_rows") > 0, "short_rows")
     )
-    ratio = F.greatest("label_0", "label_1") / F.least("label_0", "label_1")
+    ratio = F.try_divide(F.greatest("label_0", "label_1"), F.least("label_0", "label_1"))
     passed = F.col("reason").isNull()
     return (
         measures.withColumn("reason", reason)

@@ -114,7 +114,7 @@ def _split_bounds(totals: DataFrame, groups: list[str], val: float, test: float)
     by_remainder = everything.orderBy(F.col("rest").desc(), *groups)
 
     def quota(df: DataFrame, size: str, of: str, drawn: str, name: str) -> DataFrame:
-        share = F.col(size) / F.col(of) * F.col(drawn)
+        share = F.try_divide(size, of) * F.col(drawn)
         return (
             df.withColumn("share", share)
             .withColumn("base", F.floor("share"))
