@@ -4,8 +4,10 @@ vocabulary term, so that all of them score together in one pass over the texts."
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from labeltext.operators.features import (
     tfidf_weights,
     vocabulary,
 )
-from labeltext.operators.linear import fit_linear
+from labeltext.operators.linear import fit_blocks, training_blocks
 from labeltext.schema import KEY, LABEL, MODEL_NAMES, NB_ALPHA, TEXT
 from labeltext.session import cut_lineage
 
@@ -79,8 +81,12 @@ def complement_nb(weights: DataFrame, alpha: float = NB_ALPHA) -> DataFrame:
 
 @dataclass
 class TrainingData:
+    """The shared feature table; ``blocks`` are the cached rows of the linear models, by
+    whether their classes are balanced."""
+
     features: DataFrame
     n_features: int
+    blocks: dict[bool, RDD] = field(default_factory=dict)
 
 
 def _fit_dummy(data: TrainingData, options: dict) -> tuple[Head, DataFrame | None]:
@@ -100,14 +106,17 @@ def _fit_complement_nb(data: TrainingData, options: dict) -> tuple[Head, DataFra
     return Head("complement_nb", PROBABILITY), by_class.select("term_id", column)
 
 
+def _balanced(options: dict) -> bool:
+    return options.get("class_weight", "balanced") == "balanced"
+
+
 def _linear(name: str, loss: str, score_type: str, max_iter: int):
     def fit(data: TrainingData, options: dict) -> tuple[Head, DataFrame | None]:
-        coefficients, bias = fit_linear(
-            data.features,
+        coefficients, bias = fit_blocks(
+            data.blocks[_balanced(options)],
             data.n_features,
             loss,
             C=float(options.get("C", 1.0)),
-            balanced=options.get("class_weight", "balanced") == "balanced",
             max_iter=int(options.get("max_iter", max_iter)),
         )
         rows = [(i, float(w)) for i, w in enumerate(coefficients)]
@@ -124,6 +133,7 @@ REGISTRY: dict[str, Callable[[TrainingData, dict], tuple[Head, DataFrame | None]
     "linear_svc": _linear("linear_svc", "squared_hinge", MARGIN, 5000),
     "complement_nb": _fit_complement_nb,
 }
+LINEAR = ["logistic_regression", "linear_svc"]
 
 
 def training_features(
@@ -161,16 +171,24 @@ def fit_models(
     vocab = cut_lineage(vocabulary(train, params, key, text))
     features = cut_lineage(training_features(train, vocab, params, key, text))
     data = TrainingData(features, vocab.count())
-
-    heads, terms = [], vocab.select("term", "term_id", "idf")
-    for name in names:
-        head, coefficients = REGISTRY[name](data, (options or {}).get(name, {}))
-        heads.append(head)
+    options = {name: (options or {}).get(name, {}) for name in names}
+    for balanced in {_balanced(options[name]) for name in names if name in LINEAR}:
+        data.blocks[balanced] = training_blocks(features, balanced)
+    try:
+        # The fits are driver loops around many short jobs, which share the cluster.
+        with ThreadPoolExecutor(len(names)) as pool:
+            fits = list(pool.map(lambda name: REGISTRY[name](data, options[name]), names))
+    finally:
+        for blocks in data.blocks.values():
+            blocks.unpersist()
+
+    terms = vocab.select("term", "term_id", "idf")
+    for name, (_, coefficients) in zip(names, fits):
         if coefficients is not None:
             terms = terms.join(
                 coefficients.withColumnRenamed("w", f"w_{name}"), "term_id", "left"
             )
-    return FittedModels(cut_lineage(terms), heads, params)
+    return FittedModels(cut_lineage(terms), [head for head, _ in fits], params)
 
 
 # ---- scoring ---------------------------------------------------------------------------

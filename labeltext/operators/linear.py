@@ -16,7 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,44 +54,39 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _block_sums(batches: Iterator[pa.RecordBatch], point: np.ndarray, loss: str):
+def _block_sums(blocks: Iterator[tuple], point: np.ndarray, loss: str):
     """Loss and gradient summed over the blocks of one partition."""
     total, gradient = 0.0, np.zeros_like(point)
-    for batch in batches:
-        columns = [batch.column(name) for name in BLOCK]
-        for cells in zip(*columns):
-            starts, ids, values, sign, weight = (
-                np.frombuffer(cell.as_buffer(), kind) for cell, kind in zip(cells, BLOCK.values())
-            )
-            owner = np.repeat(np.arange(len(sign)), np.diff(starts))
-            dots = np.bincount(owner, values * point[ids], minlength=len(sign))
-            margin = sign * (dots + point[-1])
-            if loss == "log":
-                total += float(weight @ np.logaddexp(0.0, -margin))
-                slope = -weight * sign * np.exp(-np.logaddexp(0.0, margin))
-            else:
-                short = np.maximum(0.0, 1.0 - margin)
-                total += float(weight @ (short * short))
-                slope = -2.0 * weight * sign * short
-            gradient[:-1] += np.bincount(ids, values * slope[owner], minlength=len(point) - 1)
-            gradient[-1] += slope.sum()
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([total]), pa.array([gradient.tobytes()], pa.binary())], ["loss", "gradient"]
-    )
+    for block in blocks:
+        starts, ids, values, sign, weight = (
+            np.frombuffer(cell, kind) for cell, kind in zip(block, BLOCK.values())
+        )
+        owner = np.repeat(np.arange(len(sign)), np.diff(starts))
+        dots = np.bincount(owner, values * point[ids], minlength=len(sign))
+        margin = sign * (dots + point[-1])
+        if loss == "log":
+            total += float(weight @ np.logaddexp(0.0, -margin))
+            slope = -weight * sign * np.exp(-np.logaddexp(0.0, margin))
+        else:
+            short = np.maximum(0.0, 1.0 - margin)
+            total += float(weight @ (short * short))
+            slope = -2.0 * weight * sign * short
+        gradient[:-1] += np.bincount(ids, values * slope[owner], minlength=len(point) - 1)
+        gradient[-1] += slope.sum()
+    yield total, gradient
 
 
 def _add(a, b):
     return a[0] + b[0], a[1] + b[1]
 
 
-def _merged(sums: DataFrame, partitions: int) -> tuple[float, np.ndarray]:
-    """Total of one row per partition: directly if they are few, else in a tree, so that the
+def _merged(sums: RDD) -> tuple[float, np.ndarray]:
+    """Total of one pair per partition: directly if they are few, else in a tree, so that the
     driver never receives more than ``DIRECT_MERGE`` gradients."""
+    partitions = sums.getNumPartitions()
     if partitions <= DIRECT_MERGE:
-        rows = [(r["loss"], np.frombuffer(r["gradient"])) for r in sums.collect()]
-        return reduce(_add, rows)
-    pairs = sums.rdd.map(lambda r: (r["loss"], np.frombuffer(bytes(r["gradient"]))))
-    return pairs.treeReduce(_add, depth=2 if partitions <= DIRECT_MERGE**2 else 3)
+        return reduce(_add, sums.collect())
+    return sums.treeReduce(_add, depth=2 if partitions <= DIRECT_MERGE**2 else 3)
 
 
 def class_weights(df: DataFrame) -> dict[int, float]:
@@ -102,46 +97,56 @@ def class_weights(df: DataFrame) -> dict[int, float]:
     return {label: sum(counts) / (2.0 * n) for label, n in enumerate(counts)}
 
 
-def fit_linear(
-    features: DataFrame,
+def training_blocks(features: DataFrame, balanced: bool = True) -> RDD:
+    """Cached blocks of the feature table, to be unpersisted by the caller. ``features`` has
+    indices, values and label, one row per document; the arrays may be empty.
+
+    An RDD, because each step of the optimiser runs array code over whole partitions and
+    returns one pair per partition; a DataFrame job per step takes twice as long."""
+    by_label = class_weights(features) if balanced else {0: 1.0, 1: 1.0}
+    positive = F.col(LABEL) == 1
+    blocks = features.select(
+        "indices",
+        "values",
+        F.when(positive, 1.0).otherwise(-1.0).alias("sign"),
+        F.when(positive, by_label[1]).otherwise(by_label[0]).alias("weight"),
+    ).mapInArrow(_to_blocks, ", ".join(f"{name} binary" for name in BLOCK))
+    return blocks.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def fit_blocks(
+    blocks: RDD,
     n_features: int,
     loss: str,
     C: float = 1.0,
-    balanced: bool = True,
     max_iter: int = 1000,
     tolerance: float = 1e-4,
 ) -> tuple[np.ndarray, float]:
-    """Coefficients and bias. ``features`` has indices, values and label, one row per
-    document with at least one known term or with empty arrays."""
+    """Coefficients and bias."""
     if loss not in LOSSES:
         raise ValueError(f"unknown loss {loss!r}, choose from {LOSSES}")
-    by_label = class_weights(features) if balanced else {0: 1.0, 1: 1.0}
-    positive = F.col(LABEL) == 1
-    blocks = features.select(
-        "indices",
-        "values",
-        F.when(positive, 1.0).otherwise(-1.0).alias("sign"),
-        F.when(positive, C * by_label[1]).otherwise(C * by_label[0]).alias("weight"),
-    ).mapInArrow(_to_blocks, ", ".join(f"{name} binary" for name in BLOCK))
-    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-    partitions = blocks.rdd.getNumPartitions()
-    context = features.sparkSession.sparkContext
 
     def objective(point: np.ndarray) -> tuple[float, np.ndarray]:
-        shared = context.broadcast(point)
-        sums = blocks.mapInArrow(
-            lambda batches: _block_sums(batches, shared.value, loss),
-            "loss double, gradient binary",
+        shared = blocks.context.broadcast(point)
+        total, gradient = _merged(
+            blocks.mapPartitions(lambda part: _block_sums(part, shared.value, loss))
         )
-        total, gradient = _merged(sums, partitions)
         shared.unpersist()
-        return total + 0.5 * float(point @ point), gradient + point
+        return C * total + 0.5 * float(point @ point), C * gradient + point
 
+    point = _minimize(objective, np.zeros(n_features + 1), max_iter, tolerance)
+    return point[:-1], float(point[-1])
+
+
+def fit_linear(
+    features: DataFrame, n_features: int, loss: str, balanced: bool = True, **options
+) -> tuple[np.ndarray, float]:
+    """Coefficients and bias for one feature table."""
+    blocks = training_blocks(features, balanced)
     try:
-        point = _minimize(objective, np.zeros(n_features + 1), max_iter, tolerance)
+        return fit_blocks(blocks, n_features, loss, **options)
     finally:
         blocks.unpersist()
-    return point[:-1], float(point[-1])
 
 
 def _minimize(objective, point: np.ndarray, max_iter: int, tolerance: float) -> np.ndarray:
