@@ -1,8 +1,8 @@
 """TF-IDF as long tables: (key, term id, weight) instead of one sparse matrix.
 
-Texts are partitioned by key before they are taken apart. Counting terms per document then
-needs no further shuffle, and what moves afterwards is small: term totals for the
-vocabulary, one score per document for a linear model.
+The vocabulary comes from map-side partial sums per term. For weights and scores, texts are
+partitioned by key before they are taken apart; counting and summing per document then needs
+no further shuffle, and one row per document is all that moves on.
 """
 
 from __future__ import annotations
@@ -66,17 +66,46 @@ def _spaced(parts: list[Column]) -> list[Column]:
     return out
 
 
+def _grams(tokens_: str, low: int, high: int) -> Column:
+    """All n-grams of a token array column, as one array."""
+    size = F.size(tokens_)
+    grams, kept = F.col(tokens_), [F.col(tokens_)] if low == 1 else []
+    for n in range(2, high + 1):
+        count = F.greatest(size - (n - 1), F.lit(0))
+        grams = F.zip_with(
+            F.slice(grams, F.lit(1), count),
+            F.slice(tokens_, F.lit(n), count),
+            lambda head, last: F.concat(head, F.lit(" "), last),
+        )
+        if n >= low:
+            kept.append(grams)
+    return F.concat(*kept)
+
+
 def vocabulary(
     df: DataFrame, params: TfidfParams = TfidfParams(), key: str = KEY, text: str = TEXT
 ) -> DataFrame:
     """term, term_id (position in term order), tf (corpus count), df, idf. At most
-    ``max_features`` rows: the most frequent terms, the alphabetically first on ties."""
+    ``max_features`` rows: the most frequent terms, the alphabetically first on ties.
+
+    Each text gives its terms and its distinct terms, both summed up by term with map-side
+    partial sums; no text and no per-document count is shuffled."""
     n_docs = df.agg(F.count(F.lit(1))).scalar()
-    per_document = terms(df, params, key, text).groupBy(key, "term").agg(
-        F.count(F.lit(1)).alias("tf")
+    folded = analyzed_text(F.col(text), params.lowercase, params.strip_accents)
+    grams = (
+        df.select(folded.alias("_text"))
+        .select(tokens(F.col("_text")).alias("_tokens"))
+        .select(_grams("_tokens", *params.ngram_range).alias("_grams"))
+    )
+    both = F.array(
+        F.struct(F.col("_grams").alias("terms"), F.lit(1).alias("tf"), F.lit(0).alias("df")),
+        F.struct(F.array_distinct("_grams").alias("terms"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
     )
-    totals = per_document.groupBy("term").agg(
-        F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")
+    totals = (
+        grams.select(F.inline(both))
+        .select(F.explode("terms").alias("term"), "tf", "df")
+        .groupBy("term")
+        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     )
     kept = (
         totals.where(F.col("df") >= params.min_df)

@@ -28,10 +28,13 @@ def split_keys(phased: DataFrame, min_length: int = MIN_TEXT_LENGTH) -> DataFram
 
 
 def modelling_table(phased: DataFrame, min_length: int = MIN_TEXT_LENGTH) -> DataFrame:
-    """raw_index, text_combined, label, split: sampled, cleaned, without copies, split."""
+    """raw_index, text_combined, label, split: sampled, cleaned, without copies, split.
+
+    Partitioned by key, as the feature steps want it. A shuffled join leaves it like that
+    already; behind a broadcast join this is the one move of the texts."""
     rows = cleaned_rows(phase_rows(phased, SAMPLE), keep=[KEY], min_length=min_length)
     keys = split_keys(phased, min_length).select(KEY, "split")
-    return rows.join(keys, KEY)
+    return rows.join(keys, KEY).repartition(KEY)
 
 
 def holdout_table(phased: DataFrame, min_length: int = MIN_TEXT_LENGTH) -> DataFrame:
