@@ -27,8 +27,8 @@ from labeltext.operators.manifest import label_by_source, number_blocks, source_
 from labeltext.operators.sampling import HOLDOUT, PHASE1, PHASE2
 from labeltext.plans import preparation, scoring, training
 from labeltext.plans.drift_report import drift_report
-from labeltext.schema import KEY, LABEL, SEED, SOURCE, TEXT
-from labeltext.session import checkpoint_dir, cut_lineage
+from labeltext.schema import KEY, LABEL, MAX_FEATURES, SEED, SOURCE, TEXT
+from labeltext.session import bounded, checkpoint_dir, cut_lineage
 from labeltext.sources.files import jsonl_view
 from labeltext.sources.tables import corpus, manifest, read_table
 from labeltext.streaming.jobs import drift_stream, read_messages, score_stream
@@ -547,7 +547,8 @@ def complement_nb_weights(spark: SparkSession, folder: str) -> DataFrame:
     train = modelling(spark, folder).where(F.col("split") == "train")
     vocab = cut_lineage(features.vocabulary(train))
     by_class = complement_nb(features.tfidf_weights(train, vocab, keep=[LABEL]))
-    named = by_class.join(F.broadcast(vocab.select("term", "term_id")), "term_id")
+    terms = bounded(vocab.select("term", "term_id"), MAX_FEATURES)
+    named = by_class.join(terms, "term_id")
     return rounded(named.select("term", "weight_0", "weight_1"), "weight_0", "weight_1")
 
 
