@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labeltext.operators.sampling import HOLDOUT, PHASE1, PHASE2, with_sample_rows
@@ -29,8 +29,12 @@ def source_distribution(df: DataFrame, manifest: DataFrame, key: str = KEY) -> D
 
 def shares(counts: DataFrame, slices: str = "slice", digits: int = 4) -> DataFrame:
     """Add each count's share of its slice. ``counts`` has one row per slice and value."""
-    total = F.sum("n").over(Window.partitionBy(slices))
-    return counts.withColumn("share", F.round(F.col("n") / total, digits))
+    totals = counts.groupBy(slices).agg(F.sum("n").alias("_total"))
+    return (
+        counts.join(totals, slices)
+        .withColumn("share", F.round(F.col("n") / F.col("_total"), digits))
+        .drop("_total")
+    )
 
 
 def label_counts(df: DataFrame, by: str, label: str = LABEL) -> DataFrame:

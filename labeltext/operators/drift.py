@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labeltext.functions.text import tokens
@@ -209,15 +209,11 @@ def share_table(
 ) -> DataFrame:
     """Counts and 4-digit shares of both slices side by side."""
     pairs = side_by_side(counts, key, reference, current)
-    everything = Window.partitionBy(F.lit(0))
+    totals = pairs.agg(F.sum("ref_n").alias("ref"), F.sum("cur_n").alias("cur"))
+
+    def share(side: str) -> Column:
+        return F.round(F.try_divide(f"{side}_n", totals.select(side).scalar()), 4)
+
     return pairs.select(
-        key,
-        "ref_n",
-        "cur_n",
-        *[
-            F.round(F.try_divide(f"{s}_n", F.sum(f"{s}_n").over(everything)), 4).alias(
-                f"{s}_share"
-            )
-            for s in ("ref", "cur")
-        ],
+        key, "ref_n", "cur_n", share("ref").alias("ref_share"), share("cur").alias("cur_share")
     )

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labeltext.session import BROADCAST_ROWS
+from labeltext.session import BROADCAST_ROWS, cut_lineage
 
 # Hash buckets: 16 ** HASH_CHARS per group, about a million rows each at 6e10 rows.
 HASH_CHARS = 4
@@ -37,11 +37,11 @@ def _before(window_by: list[str], order: Column, value: str) -> Column:
 
 
 def _held(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A table of at most ``limit`` rows, evaluated now and broadcast, so that every use sees
-    the same rows and no side is shuffled for it. A larger table is returned as it is."""
+    """``df`` evaluated once, so that every use sees the same rows: a table of at most
+    ``limit`` rows is broadcast, a larger one is written to the checkpoint folder."""
     rows = df.take(limit + 1)
     if len(rows) > limit:
-        return df
+        return cut_lineage(df)
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
@@ -173,6 +173,7 @@ def running_sums(
         whole = df.withColumn("_all", F.lit(0))
         return running_sums(whole, ["_all"], order, values, descending, buckets).drop("_all")
     shares = [(i + 1) / buckets for i in range(buckets - 1)]
+    # Held, because approximate quantiles may differ from one evaluation to the next.
     quantiles = F.percentile_approx(F.col(order).cast("double"), shares, 10_000)
     edges = df.groupBy(*groups).agg(F.array_distinct(quantiles).alias("_edges"))
     bucket = F.size(F.filter("_edges", lambda e: e < F.col(order)))

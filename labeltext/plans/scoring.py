@@ -16,6 +16,7 @@ from labeltext.functions.text import clean_text
 from labeltext.operators.classifiers import FittedModels, predictions
 from labeltext.schema import TEXT, require_columns
 
+# Fixed value: the version reported when none is given.
 MODEL_VERSION = "phase2_linear_svc"
 
 

@@ -100,3 +100,16 @@ def test_bad_parameters(spark, keyed):
         sampling.train_val_test_split(keyed, 0.7, 0.3, 0.0)
     with pytest.raises(ValueError):
         sampling.train_val_test_split(keyed, 0.7, 0.2, 0.2)
+
+
+def test_tables_too_large_to_hold_are_written(spark, monkeypatch):
+    """The fallback beyond the row limit gives the same sums and slices."""
+    rows = [(g, float(x), 1) for g in range(6) for x in range(20)]
+    df = spark.createDataFrame(rows, "g int, x double, n bigint")
+    monkeypatch.setattr(ranking._held, "__defaults__", (1,))
+    monkeypatch.setattr(ranking, "BROADCAST_ROWS", 4)
+    out = ranking.running_sums(df, ["g"], "x", ["n"], buckets=4).collect()
+    assert all(r["cum_n"] == r["x"] + 1 for r in out) and len(out) == 120
+    keyed = df.select(F.col("g").alias("label"), (F.col("g") * 100 + F.col("x")).cast("bigint").alias("raw_index"))
+    kept = sampling.stratified_sample(keyed, 0.5)
+    assert {r["count"] for r in kept.groupBy("label").count().collect()} == {10}
