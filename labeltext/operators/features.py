@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -172,3 +173,13 @@ def feature_arrays(weights: DataFrame, keep: list[str]) -> DataFrame:
         F.col("_e.term_id").cast("array<int>").alias("indices"),
         F.col("_e.weight").alias("values"),
     )
+
+
+def feature_vectors(arrays: DataFrame, n_features: int) -> DataFrame:
+    """The feature arrays with a sparse ``features`` vector, for estimators of Spark ML."""
+
+    def sparse(indices, values):
+        return Vectors.sparse(n_features, indices, values)
+
+    vector = F.udf(sparse, VectorUDT())
+    return arrays.withColumn("features", vector("indices", "values"))

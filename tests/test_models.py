@@ -80,6 +80,24 @@ def test_empty_vocabulary(spark):
     assert vocab.isEmpty() and features.tfidf_weights(df, vocab).isEmpty()
 
 
+def test_vectors_feed_spark_ml(train):
+    from pyspark.ml.classification import NaiveBayes
+
+    from labeltext.operators.classifiers import training_features
+
+    kept, x = matrix()
+    vocab = features.vocabulary(train, PARAMS)
+    arrays = training_features(train, vocab, PARAMS)
+    vectors = features.feature_vectors(arrays, len(kept)).orderBy("raw_index")
+    assert np.allclose([r["features"].toArray() for r in vectors.collect()], x, atol=1e-12)
+    model = NaiveBayes(modelType="complement", smoothing=0.5).fit(vectors)
+    ours = predictions(train, fit_models(train, ["complement_nb"], PARAMS)).orderBy("raw_index")
+    theirs = model.transform(vectors).orderBy("raw_index").collect()
+    filled = [bool(r["features"].numNonzeros()) for r in theirs]
+    pairs = [(int(t["prediction"]), o["prediction"]) for t, o in zip(theirs, ours.collect())]
+    assert all(a == b for (a, b), f in zip(pairs, filled) if f)
+
+
 def test_majority_and_unknown_model(spark, train):
     assert majority_label(train).first()[0] == 0
     even = spark.createDataFrame([(1,), (0,)], "label bigint")
