@@ -8,7 +8,8 @@ similarity of their sets reaches a threshold; the result is their connected comp
    similar enough share a shingle of their prefixes.
 2. Documents with equal sets form one class, classes with equal prefix and size one *group*.
    An inverted index over the prefixes pairs groups, not documents; pairs whose sizes differ
-   too much are filtered.
+   too much, whose common shingle stands too late, or whose histograms of codes overlap too
+   little are filtered.
 3. Pairs are expanded to classes and verified on the full sets.
 
 Only components are asked for, so a bucket of the index with many groups (a cluster of near
@@ -51,7 +52,11 @@ BIN_ENTRIES = 400_000
 # Groups in a bucket up to which all pairs are taken at once, and first members each other
 # one is paired with beyond.
 SMALL_BUCKET, PIVOTS = 4, 3
-FILTER_BITS = 23
+FILTER_BITS = 20
+# Cells of the histogram of a set's codes: the sum of the smaller counts bounds an overlap.
+CELLS = 256
+# Members that one task compares with as many others.
+BLOCK = 1500
 
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
 
@@ -72,10 +77,33 @@ def _set_keys(row: np.ndarray, code: np.ndarray, rows: int) -> tuple[np.ndarray,
     return size, key
 
 
-def _keys_array(key: np.ndarray) -> pa.Array:
-    return pa.Array.from_buffers(
-        pa.binary(16), len(key), [None, pa.py_buffer(np.ascontiguousarray(key).tobytes())]
-    ).cast(pa.binary())
+def _histograms(row: np.ndarray, code: np.ndarray, rows: int) -> np.ndarray:
+    at = row * CELLS + (code & np.uint64(CELLS - 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=rows * CELLS), 255).astype(np.uint8)
+
+
+def _binaries(values: np.ndarray, width: int) -> pa.Array:
+    """Rows of ``width`` bytes each."""
+    raw = np.ascontiguousarray(values).tobytes()
+    fixed = pa.Array.from_buffers(
+        pa.binary(width), len(raw) // width, [None, pa.py_buffer(raw)]
+    )
+    return fixed.cast(pa.binary())
+
+
+def _fixed(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
+
+
+def _similar_enough(n_a, n_b, overlap, percent: int):
+    """Whether an overlap reaches the threshold: 100 * overlap >= percent * union."""
+    return (100 + percent) * overlap >= percent * (n_a + n_b)
+
+
+def _may_overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """At least the overlap of the sets with these histograms. A full cell holds any number."""
+    least = np.minimum(a, b)
+    return least.sum(axis=1, dtype=np.int64) + np.where((least == 255).any(axis=1), 1 << 40, 0)
 
 
 def _records(docs: DataFrame, counts: np.ndarray, bits: int, shingle: int, percent: int):
@@ -114,26 +142,38 @@ def _records(docs: DataFrame, counts: np.ndarray, bits: int, shingle: int, perce
                         pa.array(base + done + np.arange(hi - lo), pa.int64()),
                         batch.column("doc_id").slice(lo, hi - lo).cast(pa.int64()),
                         pa.array(size, pa.int64()),
-                        _keys_array(key),
+                        _binaries(key, 16),
+                        _binaries(_histograms(row, code, hi - lo), CELLS),
                         pa.array(group.view(np.int64), pa.int64()),
                         pa.ListArray.from_arrays(
                             pa.array(np.concatenate([[0], np.cumsum(shown)]), pa.int32()),
                             pa.array(prefix[np.repeat(lone, length)].view(np.int64)),
                         ),
                     ],
-                    ["rid", "doc_id", "n", "key", "grp", "prefix"],
+                    ["rid", "doc_id", "n", "key", "cells", "grp", "prefix"],
                 )
                 done += hi - lo
 
     return docs.select("doc_id", "text").mapInArrow(
         cut,
-        "rid long, doc_id long, n long, key binary, grp long, prefix array<long>",
+        "rid long, doc_id long, n long, key binary, cells binary, grp long, prefix array<long>",
+    )
+
+
+def _may_link(n_a, n_b, place_a, place_b, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can be similar, given the places of a common code in their
+    prefixes, if that is their first common code. A similar pair has a common code for which
+    this holds, its first."""
+    left = 1 + np.minimum(n_a - place_a - 1, n_b - place_b - 1)
+    return _similar_enough(n_a, n_b, left, percent) & _similar_enough(
+        n_a, n_b, np.minimum(n_a, n_b), percent
     )
 
 
 def _candidates(records: DataFrame, percent: int) -> DataFrame:
     """Rows of two kinds from the inverted index over the prefixes: ``kind`` 0, a pair of
-    documents that stand for their groups; ``kind`` 1, a member (y) of a large bucket (x)."""
+    documents that stand for their groups; ``kind`` 1, a member (y) of a large bucket (x), in
+    whose prefix the bucket's code has place ``place``."""
     spark = records.sparkSession
     held = records.where("size(prefix) > 0").select("rid", "n", "prefix")
     entries = held.agg(F.sum(F.size("prefix"))).first()[0] or 0
@@ -147,36 +187,35 @@ def _candidates(records: DataFrame, percent: int) -> DataFrame:
             rid = np.repeat(batch.column("rid").to_numpy(), length)
             n = np.repeat(batch.column("n").to_numpy(), length)
             place = np.arange(len(code)) - np.repeat(np.cumsum(length) - length, length)
-            # The smaller of two similar sets has a common code among these.
-            lead = place < n - _ceil(n, 2 * percent, 100 + percent) + 1
             at = ((code >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
             order, names, first = by_bin(at.astype(np.int64))
-            code, rid, n, lead = code[order], rid[order], n[order], lead[order]
+            code, rid, n, place = code[order], rid[order], n[order], place[order]
             spans = list(zip(first[:-1], first[1:], strict=True))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(names, pa.int32()),
                     pa.array([code[a:b].tobytes() for a, b in spans], pa.binary()),
                     pa.array([squeeze(rid[a:b]) for a, b in spans], pa.binary()),
-                    pa.array([squeeze(2 * n[a:b] + lead[a:b]) for a, b in spans], pa.binary()),
+                    pa.array([squeeze(n[a:b]) for a, b in spans], pa.binary()),
+                    pa.array([squeeze(place[a:b], delta=False) for a, b in spans], pa.binary()),
                 ],
-                ["bin", "code", "rid", "n"],
+                ["bin", "code", "rid", "n", "place"],
             )
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[], [], []]
+        parts = [[], [], [], []]
         for batch in batches:
-            for code, rid, n in zip(*(batch.column(k) for k in (1, 2, 3)), strict=True):
+            for code, rid, n, place in zip(*(batch.column(k) for k in (1, 2, 3, 4)), strict=True):
                 parts[0].append(np.frombuffer(code.as_buffer(), np.uint64))
                 parts[1].append(unsqueeze(rid.as_buffer()))
                 parts[2].append(unsqueeze(n.as_buffer()))
+                parts[3].append(unsqueeze(place.as_buffer(), delta=False))
         if not parts[0]:
             return
-        code, rid, n = (np.concatenate(x) for x in parts)
+        code, rid, n, place = (np.concatenate(x) for x in parts)
         del parts
         order = np.lexsort((rid, code))
-        code, rid, n = code[order], rid[order], n[order]
-        lead, n = (n & 1).astype(bool), n >> 1
+        code, rid, n, place = code[order], rid[order], n[order], place[order]
         first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
         many = np.diff(np.append(first, len(code)))
         start, many = np.repeat(first, many), np.repeat(many, many)
@@ -192,14 +231,12 @@ def _candidates(records: DataFrame, percent: int) -> DataFrame:
             i = at[(many > SMALL_BUCKET) & (at > start + k)]
             found.append((start[i] + k, i))
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        low = np.where(n[a] <= n[b], a, b)
-        high = a + b - low
-        ok = lead[low] | ((n[low] == n[high]) & lead[high])
-        ok &= (100 * n[low] >= percent * n[high]) & (rid[a] != rid[b])
+        ok = _may_link(n[a], n[b], place[a], place[b], percent) & (rid[a] != rid[b])
         pairs = np.unique(np.stack([rid[a[ok]], rid[b[ok]]], axis=1), axis=0)
         large = many > SMALL_BUCKET
         x = np.concatenate([pairs[:, 0], code[large].view(np.int64)])
         y = np.concatenate([pairs[:, 1], rid[large]])
+        late = np.concatenate([np.zeros(len(pairs), np.int64), place[large]])
         kind = np.repeat([0, 1], [len(pairs), int(large.sum())])
         for k in range(0, len(x), 100_000):
             yield pa.RecordBatch.from_arrays(
@@ -207,12 +244,85 @@ def _candidates(records: DataFrame, percent: int) -> DataFrame:
                     pa.array(kind[k : k + 100_000], pa.int32()),
                     pa.array(x[k : k + 100_000]),
                     pa.array(y[k : k + 100_000]),
+                    pa.array(late[k : k + 100_000]),
                 ],
-                ["kind", "x", "y"],
+                ["kind", "x", "y", "place"],
             )
 
-    packed = held.mapInArrow(deal, "bin int, code binary, rid binary, n binary")
-    return packed.repartitionById(bins, "bin").mapInArrow(pair, "kind int, x long, y long")
+    packed = held.mapInArrow(deal, "bin int, code binary, rid binary, n binary, place binary")
+    return packed.repartitionById(bins, "bin").mapInArrow(
+        pair, "kind int, x long, y long, place long"
+    )
+
+
+def _overlapping(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose histograms allow that they are similar."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (_fixed(batch.column(k), CELLS) for k in ("left", "right"))
+            n_a, n_b = (batch.column(k).to_numpy() for k in ("n_a", "n_b"))
+            ok = _similar_enough(n_a, n_b, _may_overlap(a, b), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    left = classes.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("cells").alias("left"))
+    right = classes.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("cells").alias("right"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "left", "right")
+    return both.mapInArrow(keep, "a long, b long")
+
+
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one bucket, but of different components, that may be
+    similar. Large buckets are cut into blocks, and each task compares two blocks."""
+    open_ = members.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
+    ).where("low < high").select("bucket", "blocks")
+    dealt = (
+        members.join(open_, "bucket")
+        .withColumn("own", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("task"),
+            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0)
+            .otherwise(1).alias("side"),
+            "cls", "n", "place", "component", "cells",
+        )
+    )
+    # One task may get several buckets; rows of one are next to each other.
+    dealt = dealt.repartition("task").sortWithinPartitions("task")
+
+    def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        cls, n, place, component, side = (
+            rows[k].to_numpy() for k in ("cls", "n", "place", "component", "side")
+        )
+        cells = _fixed(rows["cells"].combine_chunks(), CELLS)
+        for i in np.flatnonzero(side != 1):
+            j = np.flatnonzero((side != 0) if side[i] == 0 else (np.arange(len(cls)) > i))
+            j = j[component[j] != component[i]]
+            j = j[_may_link(n[i], n[j], place[i], place[j], percent)]
+            j = j[_similar_enough(n[i], n[j], _may_overlap(cells[i], cells[j]), percent)]
+            if len(j):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(cls[i], cls[j])), pa.array(np.maximum(cls[i], cls[j]))],
+                    ["a", "b"],
+                )
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            task = batch.column("task").to_numpy()
+            first = [0, *np.flatnonzero(np.diff(task)) + 1, len(task)]
+            for a, b in zip(first[:-1], first[1:], strict=True):
+                if held and held[0].column("task")[0].as_py() != task[a]:
+                    yield from compare(pa.Table.from_batches(held))
+                    held = []
+                if b > a:
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield from compare(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(pairs, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, percent: int):
@@ -244,7 +354,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: in
                 if len(rows):
                     yield pa.RecordBatch.from_arrays(
                         [
-                            _keys_array(key[rows]),
+                            _binaries(key[rows], 16),
                             pa.array(
                                 [code[edges[k] : edges[k + 1]].tobytes() for k in rows],
                                 pa.binary(),
@@ -286,57 +396,53 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     counts = count_cells(docs.select("text"), 1 << bits, cells)
     records = stored(_records(docs, counts, bits, shingle, percent))
     rows = records.select("rid", "doc_id", "n", "key", "grp")
-    classes = rows.where("n > 0").groupBy("key", "n", "grp").agg(F.min("rid").alias("cls"))
-    groups = classes.groupBy("grp", "n").agg(
-        F.min("cls").alias("gid"), F.count("*").alias("classes")
+    sets = rows.where("n > 0").groupBy("key", "n", "grp").agg(F.min("rid").alias("cls"))
+    groups = sets.groupBy("grp", "n").agg(F.min("cls").alias("gid"), F.count("*").alias("classes"))
+    shown = records.select(F.col("rid").alias("cls"), "cells")
+    classes = stored(
+        sets.join(groups, ["grp", "n"]).join(shown, "cls")
+        .select("cls", "key", "n", "gid", "classes", "cells")
     )
-    classes = stored(classes.join(groups, ["grp", "n"]).select("cls", "key", "n", "grp", "gid", "classes"))
     owner = rows.join(classes.select("key", "cls", "gid"), "key").select("rid", "gid")
 
     found = cut_lineage(_candidates(records, percent))
     left = owner.select(F.col("rid").alias("x"), F.col("gid").alias("a"))
     right = owner.select(F.col("rid").alias("y"), F.col("gid").alias("b"))
     pairs = (
-        found.where("kind = 0").select("x", "y").join(left, "x").join(right, "y").where("a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        found.where("kind = 0").select("x", "y").join(left, "x").join(right, "y")
+        .where("a <> b")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
     )
     pairs = cut_lineage(pairs)
     inner = classes.where("cls <> gid").select(F.col("gid").alias("a"), F.col("cls").alias("b"))
-    links = cut_lineage(_verified(pairs.union(inner), docs, classes, shingle, percent))
+    likely = cut_lineage(_overlapping(pairs.union(inner), classes, percent))
+    links = cut_lineage(_verified(likely, docs, classes, shingle, percent))
 
     # What may still join two components: members of large buckets, of groups with several
     # classes, and of pairs of groups of which one has several.
     labels = cut_lineage(components(links))
     several = classes.where("classes > 1").select("gid").distinct()
     buckets = (
-        found.where("kind = 1").select(F.col("x").alias("bucket"), F.col("y").alias("rid"))
-        .join(owner, "rid").select("bucket", "gid").distinct()
+        found.where("kind = 1")
+        .select(F.col("x").alias("bucket"), F.col("y").alias("rid"), "place")
+        .join(owner, "rid")
+        .groupBy("bucket", "gid").agg(F.min("place").alias("place"))
     )
-    buckets = buckets.union(several.select(F.col("gid").alias("bucket"), "gid"))
+    whole = several.select(F.col("gid").alias("bucket"), "gid")
     wide = pairs.join(several.withColumnRenamed("gid", "a"), "a", "left_semi").union(
         pairs.join(several.withColumnRenamed("gid", "b"), "b", "left_semi").select("a", "b")
     ).distinct()
     name = F.xxhash64("a", "b").alias("bucket")
-    buckets = buckets.union(wide.select(name, "a")).union(wide.select(name, "b"))
+    whole = whole.union(wide.select(name, "a")).union(wide.select(name, "b"))
+    buckets = buckets.union(whole.select("bucket", "gid", F.lit(0).cast("long")))
     members = (
-        buckets.join(classes.select("gid", "cls", "n"), "gid")
+        buckets.join(classes.select("gid", "cls", "n", "cells"), "gid")
         .join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("bucket", "cls", "n", F.coalesce("component", "cls").alias("component"))
-    )
-    members = cut_lineage(members)
-    open_ = members.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low < high").select("bucket")
-    members = members.join(open_, "bucket", "left_semi")
-    one, two = members.alias("one"), members.alias("two")
-    rest = (
-        one.join(two, "bucket")
-        .where("one.component < two.component")
-        .where(f"100 * least(one.n, two.n) >= {percent} * greatest(one.n, two.n)")
-        .select(F.least("one.cls", "two.cls").alias("a"), F.greatest("one.cls", "two.cls").alias("b"))
-        .distinct()
+        .select("bucket", "cls", "n", "place", "cells", F.coalesce("component", "cls").alias("component"))
     )
-    rest = cut_lineage(rest.join(pairs, ["a", "b"], "left_anti"))
+    rest = _across(members, percent).join(likely, ["a", "b"], "left_anti")
+    rest = cut_lineage(rest)
     if not rest.isEmpty():
         links = links.union(_verified(rest, docs, classes, shingle, percent))
         labels = cut_lineage(components(links))
