@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,10 @@ CELLS = 256
 # Members that one task compares with as many others.
 BLOCK = 1500
 
+# Bytes of a code in the index: enough to tell codes of one bin apart nearly always. Codes
+# that are taken for one another cost a comparison, no more.
+CODE_BYTES = 6
+
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -95,6 +100,15 @@ def _fixed(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
 
+def _packed(code: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Rows of codes, each cut to its last bytes; ``sizes`` are the rows' bytes."""
+    raw = np.ascontiguousarray(code.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES])
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes())]
+    )
+
+
 def _similar_enough(n_a, n_b, overlap, percent: int):
     """Whether an overlap reaches the threshold: 100 * overlap >= percent * union."""
     return (100 + percent) * overlap >= percent * (n_a + n_b)
@@ -136,7 +150,7 @@ def _records(docs: DataFrame, counts: np.ndarray, bits: int, shingle: int, perce
                 lone = np.zeros(hi - lo, bool)
                 lone[np.unique(group, return_index=True)[1]] = True
                 lone &= length > 0
-                shown = np.where(lone, length, 0)
+                shown = np.where(lone, length, 0) * CODE_BYTES
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(base + done + np.arange(hi - lo), pa.int64()),
@@ -145,10 +159,7 @@ def _records(docs: DataFrame, counts: np.ndarray, bits: int, shingle: int, perce
                         _binaries(key, 16),
                         _binaries(_histograms(row, code, hi - lo), CELLS),
                         pa.array(group.view(np.int64), pa.int64()),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.concatenate([[0], np.cumsum(shown)]), pa.int32()),
-                            pa.array(prefix[np.repeat(lone, length)].view(np.int64)),
-                        ),
+                        _packed(prefix[np.repeat(lone, length)], shown),
                     ],
                     ["rid", "doc_id", "n", "key", "cells", "grp", "prefix"],
                 )
@@ -156,7 +167,7 @@ def _records(docs: DataFrame, counts: np.ndarray, bits: int, shingle: int, perce
 
     return docs.select("doc_id", "text").mapInArrow(
         cut,
-        "rid long, doc_id long, n long, key binary, cells binary, grp long, prefix array<long>",
+        "rid long, doc_id long, n long, key binary, cells binary, grp long, prefix binary",
     )
 
 
@@ -175,26 +186,28 @@ def _candidates(records: DataFrame, percent: int) -> DataFrame:
     documents that stand for their groups; ``kind`` 1, a member (y) of a large bucket (x), in
     whose prefix the bucket's code has place ``place``."""
     spark = records.sparkSession
-    held = records.where("size(prefix) > 0").select("rid", "n", "prefix")
-    entries = held.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    held = records.where("length(prefix) > 0").select("rid", "n", "prefix")
+    entries = (held.agg(F.sum(F.length("prefix"))).first()[0] or 0) // CODE_BYTES
     bins = max(2 * shuffle_partitions(spark), -(-entries // BIN_ENTRIES))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("prefix")
-            length = np.diff(lists.offsets.to_numpy())
-            code = lists.flatten().to_numpy().view(np.uint64)
+            length = pc.binary_length(lists).to_numpy() // CODE_BYTES
+            code = np.zeros((int(length.sum()), 8), np.uint8)
+            code[:, :CODE_BYTES] = _fixed(lists, CODE_BYTES)
+            code = code.reshape(-1).view("<u8")
             rid = np.repeat(batch.column("rid").to_numpy(), length)
             n = np.repeat(batch.column("n").to_numpy(), length)
             place = np.arange(len(code)) - np.repeat(np.cumsum(length) - length, length)
-            at = ((code >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
+            at = (code & np.uint64(0xFFFFFF)) * np.uint64(bins) >> np.uint64(24)
             order, names, first = by_bin(at.astype(np.int64))
             code, rid, n, place = code[order], rid[order], n[order], place[order]
             spans = list(zip(first[:-1], first[1:], strict=True))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(names, pa.int32()),
-                    pa.array([code[a:b].tobytes() for a, b in spans], pa.binary()),
+                    pa.array([squeeze(code[a:b], delta=False) for a, b in spans], pa.binary()),
                     pa.array([squeeze(rid[a:b]) for a, b in spans], pa.binary()),
                     pa.array([squeeze(n[a:b]) for a, b in spans], pa.binary()),
                     pa.array([squeeze(place[a:b], delta=False) for a, b in spans], pa.binary()),
@@ -206,7 +219,7 @@ def _candidates(records: DataFrame, percent: int) -> DataFrame:
         parts = [[], [], [], []]
         for batch in batches:
             for code, rid, n, place in zip(*(batch.column(k) for k in (1, 2, 3, 4)), strict=True):
-                parts[0].append(np.frombuffer(code.as_buffer(), np.uint64))
+                parts[0].append(unsqueeze(code.as_buffer(), delta=False))
                 parts[1].append(unsqueeze(rid.as_buffer()))
                 parts[2].append(unsqueeze(n.as_buffer()))
                 parts[3].append(unsqueeze(place.as_buffer(), delta=False))
@@ -234,7 +247,7 @@ def _candidates(records: DataFrame, percent: int) -> DataFrame:
         ok = _may_link(n[a], n[b], place[a], place[b], percent) & (rid[a] != rid[b])
         pairs = np.unique(np.stack([rid[a[ok]], rid[b[ok]]], axis=1), axis=0)
         large = many > SMALL_BUCKET
-        x = np.concatenate([pairs[:, 0], code[large].view(np.int64)])
+        x = np.concatenate([pairs[:, 0], code[large]])
         y = np.concatenate([pairs[:, 1], rid[large]])
         late = np.concatenate([np.zeros(len(pairs), np.int64), place[large]])
         kind = np.repeat([0, 1], [len(pairs), int(large.sum())])
@@ -271,7 +284,7 @@ def _overlapping(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
     return both.mapInArrow(keep, "a long, b long")
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
+def _across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members of one bucket, but of different components, that may be
     similar. Large buckets are cut into blocks, and each task compares two blocks."""
     open_ = members.groupBy("bucket").agg(
@@ -279,7 +292,7 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
         F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
     ).where("low < high").select("bucket", "blocks")
     dealt = (
-        members.join(open_, "bucket")
+        members.join(open_, "bucket").join(classes.select("cls", "n", "cells"), "cls")
         .withColumn("own", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
@@ -364,7 +377,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: in
                     )
 
     held = docs.select("text").mapInArrow(sets, "key binary, codes binary")
-    held = held.join(used, "key").dropDuplicates(["cls"]).select("cls", "codes")
+    held = held.dropDuplicates(["key"]).join(used, "key").select("cls", "codes")
     held = stored(held)
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -437,11 +450,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     whole = whole.union(wide.select(name, "a")).union(wide.select(name, "b"))
     buckets = buckets.union(whole.select("bucket", "gid", F.lit(0).cast("long")))
     members = (
-        buckets.join(classes.select("gid", "cls", "n", "cells"), "gid")
+        buckets.join(classes.select("gid", "cls"), "gid")
         .join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("bucket", "cls", "n", "place", "cells", F.coalesce("component", "cls").alias("component"))
+        .select("bucket", "cls", "place", F.coalesce("component", "cls").alias("component"))
     )
-    rest = _across(members, percent).join(likely, ["a", "b"], "left_anti")
+    rest = _across(members, classes, percent).join(likely, ["a", "b"], "left_anti")
     rest = cut_lineage(rest)
     if not rest.isEmpty():
         links = links.union(_verified(rest, docs, classes, shingle, percent))
