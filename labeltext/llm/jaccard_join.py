@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from labeltext.llm.shared import (
     by_bin,
@@ -102,6 +103,7 @@ def _fixed(column: pa.Array, width: int) -> np.ndarray:
 
 def _packed(code: np.ndarray, sizes: np.ndarray) -> pa.Array:
     """Rows of codes, each cut to its last bytes; ``sizes`` are the rows' bytes."""
+    code = code & np.uint64((1 << (8 * CODE_BYTES - 1)) - 1)
     raw = np.ascontiguousarray(code.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES])
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
     return pa.Array.from_buffers(
@@ -474,3 +476,46 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         .otherwise(F.col("component_id"))
         .alias("component_id"),
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """One row of each group of near duplicates, that with the smallest doc_id, with all its
+    columns. Of rows with equal ids one stays, the first by text; rows without shingles or
+    without an id all stay, as nothing links or names them.
+
+    Only rows that may go are moved: a filter of fixed size over their ids, which never misses
+    one, tells the others apart."""
+    verdict = near_duplicates(docs, shingle, percent).where("doc_id is not null and n_shingles > 0")
+    verdict = verdict.groupBy("doc_id").agg(
+        F.count("*").alias("_rows"),
+        F.max(F.col("component_id") == F.col("doc_id")).alias("_stays"),
+    ).where("_rows > 1 or not _stays")
+    verdict = cut_lineage(verdict)
+    bits = FILTER_BITS
+
+    def cells(ids: pa.Array) -> np.ndarray:
+        known = pc.fill_null(ids.cast(pa.int64()), 0).to_numpy().astype(np.uint64)
+        return (mix(known) >> np.uint64(64 - bits)).astype(np.int64)
+
+    table = np.packbits(
+        count_cells(
+            verdict.select("doc_id"), 1 << bits, lambda batch: iter([cells(batch.column("doc_id"))])
+        ) > 0
+    )
+
+    def part(wanted: bool):
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            test = np.unpackbits(table).astype(bool)
+            for batch in batches:
+                ids = batch.column("doc_id")
+                hit = test[cells(ids)] & pc.is_valid(ids).to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(hit == wanted))
+
+        return docs.mapInArrow(choose, docs.schema)
+
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").isNull(), F.md5("text"))
+    asked = part(True).join(verdict, "doc_id", "left").where("_stays or _stays is null")
+    once = asked.withColumn("_place", F.row_number().over(order)).where("_rows is null or _place = 1")
+    return part(False).union(once.select(docs.columns))
