@@ -61,7 +61,7 @@ def _levels(words, at: np.ndarray, code: np.ndarray) -> list[np.ndarray]:
     return found
 
 
-def _plan(counts: np.ndarray, bins: int, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+def _plan(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
     """The bin of each cell, -1 where a longer prefix decides, the tasks that share the bin,
     and the number of bins. Cells are laid one after the other into bins of like size."""
     home = np.full(len(counts), -1)
@@ -86,8 +86,10 @@ def _plan(counts: np.ndarray, bins: int, size: int) -> tuple[np.ndarray, np.ndar
 
 
 def _rows(bins, code, doc, place) -> Iterator[pa.RecordBatch]:
+    """Suffixes packed by bin; codes may be left out."""
     order, names, first = by_bin(bins)
-    code, doc, place = code[order], doc[order], place[order]
+    code = code[order] if len(code) else code
+    doc, place = doc[order], place[order]
     spans = list(zip(first[:-1], first[1:], strict=True))
     if spans:
         yield pa.RecordBatch.from_arrays(
@@ -128,20 +130,26 @@ def _suffixes(docs: DataFrame, width: int, home, share) -> DataFrame:
     return known.mapInArrow(deal, PACKED)
 
 
-def _repeats(packed: DataFrame, bins: int, shared: set[int], again: bool) -> DataFrame:
-    """Build each bin's subtree down to depth ``width``: a row per document with the places of
-    its suffixes on a branch that a smaller document is on too. Of a shared bin, if ``again``,
-    the suffixes of each branch's smallest document are also given packed, for another round."""
+def _spread(value: np.ndarray, bins: int) -> np.ndarray:
+    """Bins of 64-bit codes."""
+    return (((value >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)).astype(np.int64)
+
+
+def _repeats(packed: DataFrame, bins: int, shared: set[int], parts: int) -> DataFrame:
+    """Build each bin's subtree down to depth ``width``. Rows of kind 1 hold, packed by a bin of
+    their document, the suffixes on a branch that a smaller document is on too. Rows of kind 2,
+    packed by a bin of their code, hold the suffixes of each branch's smallest document, of
+    shared bins only: another part may have a smaller one."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[bool, list] = {}
+        groups: dict[bool, list] = {}
         for batch in batches:
             for name, *data in zip(*(batch.column(k) for k in range(4)), strict=True):
                 code, doc, place = (x.as_buffer() for x in data)
-                parts.setdefault(name.as_py() in shared, []).append(
+                groups.setdefault(name.as_py() in shared, []).append(
                     (np.frombuffer(code, np.uint64), unsqueeze(doc), unsqueeze(place))
                 )
-        for split, held in parts.items():
+        for split, held in groups.items():
             code, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             order = np.argsort(code)
@@ -151,40 +159,62 @@ def _repeats(packed: DataFrame, bins: int, shared: set[int], again: bool) -> Dat
                 np.minimum.reduceat(doc, first), np.diff(np.append(first, len(code)))
             )
             late = doc > least
-            if split and again:
-                yield from rows(2, code[~late], doc[~late], place[~late])
-            yield from rows(1, code[late], doc[late], place[late])
-
-    def rows(kind, code, doc, place) -> Iterator[pa.RecordBatch]:
+            if split:
+                early = ~late
+                for batch in _rows(_spread(code[early], parts), code[early], doc[early], place[early]):
+                    yield named(batch, 2)
+            code, doc, place = code[late], doc[late], place[late]
+            order = np.lexsort((place, doc))
+            doc, place = doc[order], place[order]
+            home = _spread(mix(doc.astype(np.uint64)), parts)
+            for batch in _rows(home, code[:0], doc, place):
+                yield named(batch, 1)
+
+    def named(batch: pa.RecordBatch, kind: int) -> pa.RecordBatch:
+        kinds = pa.array(np.full(batch.num_rows, kind), pa.int32())
+        return pa.RecordBatch.from_arrays([kinds, *batch.columns], ["kind", *batch.schema.names])
+
+    return packed.repartitionById(bins, "bin").mapInArrow(build, f"kind int, {PACKED}")
+
+
+def _by_document(packed: DataFrame, parts: int) -> DataFrame:
+    """One row per document of packed suffixes, with their places."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [
+            (unsqueeze(doc.as_buffer()), unsqueeze(place.as_buffer()).astype(np.int32))
+            for batch in batches
+            for doc, place in zip(batch.column("doc"), batch.column("place"), strict=True)
+        ]
+        if not held:
+            return
+        doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
         order = np.lexsort((place, doc))
-        code, doc, place = code[order], doc[order], place[order]
-        first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else []
-        for k in range(0, len(first), 20_000):
-            start = first[k : k + 20_000]
-            end = first[k + 20_000] if k + 20_000 < len(first) else len(doc)
-            edges = pa.array(np.append(start, end) - start[0], pa.int32())
-            some = slice(start[0], end)
-            empty = pa.array(code[some][:0].view(np.int64))
-            none = pa.array(np.zeros(len(edges), np.int32))
+        doc, place = doc[order], place[order]
+        first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        for k in range(0, len(first), 5_000):
+            start = first[k : k + 5_000]
+            end = first[k + 5_000] if k + 5_000 < len(first) else len(doc)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(start), kind), pa.int32()),
                     pa.array(doc[start]),
-                    pa.ListArray.from_arrays(edges, pa.array(place[some], pa.int32())),
-                    pa.ListArray.from_arrays(edges, pa.array(code[some].view(np.int64)))
-                    if kind == 2 else pa.ListArray.from_arrays(none, empty),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.append(start, end) - start[0], pa.int32()),
+                        pa.array(place[start[0] : end]),
+                    ),
                 ],
-                ["kind", "doc_id", "places", "codes"],
+                ["doc_id", "places"],
             )
 
-    return packed.repartitionById(bins, "bin").mapInArrow(
-        build, "kind int, doc_id long, places array<int>, codes array<long>"
+    return packed.select("bin", "doc", "place").repartitionById(parts, "bin").mapInArrow(
+        gather, "doc_id long, places array<int>"
     )
 
 
 def repeated_places(docs: DataFrame, width: int = WIDTH, size: int = GROUP_SUFFIXES) -> DataFrame:
-    """doc_id and, in one or more rows, the places (word numbers) where a passage of ``width``
-    words begins that a document with a smaller doc_id has too."""
+    """doc_id and the places (word numbers) where a passage of ``width`` words begins that a
+    document with a smaller doc_id has too; one row per document that has any."""
     spark = docs.sparkSession
 
     def cells(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -196,39 +226,25 @@ def repeated_places(docs: DataFrame, width: int = WIDTH, size: int = GROUP_SUFFI
     known = docs.where("doc_id is not null and text is not null")
     counts = count_cells(known.select("text"), sum(1 << b for b in LEVEL_BITS), cells)
     total = int(counts[: 1 << LEVEL_BITS[0]].sum())
-    partitions = shuffle_partitions(spark)
-    size = max(1000, min(size, -(-total // (2 * partitions))))
-    home, share, bins = _plan(counts, partitions, size)
+    parts = shuffle_partitions(spark)
+    size = max(1000, min(size, -(-total // (2 * parts))))
+    home, share, bins = _plan(counts, size)
     shared = {
         int(home[cell]) + k for cell in np.flatnonzero(share > 1) for k in range(share[cell])
     }
-    found = _repeats(_suffixes(docs, width, home, share), bins, shared, again=True)
-    if not shared:
-        return found.select("doc_id", "places")
-    found = cut_lineage(found)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("codes")
-            many = np.diff(lists.offsets.to_numpy())
-            code = lists.flatten().to_numpy().view(np.uint64)
-            at = ((code >> np.uint64(32)) * np.uint64(partitions)) >> np.uint64(32)
-            yield from _rows(
-                at.astype(np.int64), code, np.repeat(batch.column("doc_id").to_numpy(), many),
-                batch.column("places").flatten().to_numpy().astype(np.int64),
-            )
-
-    again = found.where("kind = 2").mapInArrow(deal, PACKED)
-    last = _repeats(again, partitions, set(), again=False)
-    return found.where("kind = 1").select("doc_id", "places").union(last.select("doc_id", "places"))
+    found = _repeats(_suffixes(docs, width, home, share), bins, shared, parts)
+    columns = [F.col(name) for name in ("bin", "code", "doc", "place")]
+    if shared:
+        found = cut_lineage(found)
+        again = found.where("kind = 2").select(columns)
+        found = found.where("kind = 1").union(_repeats(again, parts, set(), parts))
+    return _by_document(found, parts)
 
 
 def drop_repeats(docs: DataFrame, width: int = WIDTH, size: int = GROUP_SUFFIXES) -> DataFrame:
     """Every row with the words removed that a repeated passage covers: doc_id, n_words,
     n_removed, kept_sha256, and ``spans``, the maximal runs of removed words (start, end)."""
-    places = repeated_places(docs, width, size).groupBy("doc_id").agg(
-        F.flatten(F.collect_list("places")).alias("places")
-    )
+    places = repeated_places(docs, width, size)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
