@@ -424,7 +424,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     left = owner.select(F.col("rid").alias("x"), F.col("gid").alias("a"))
     right = owner.select(F.col("rid").alias("y"), F.col("gid").alias("b"))
     pairs = (
-        found.where("kind = 0").select("x", "y").join(left, "x").join(right, "y")
+        found.where("kind = 0").select("x", "y").distinct().join(left, "x").join(right, "y")
         .where("a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
