@@ -56,7 +56,7 @@ BIN_ENTRIES = 400_000
 SMALL_BUCKET, PIVOTS = 4, 3
 FILTER_BITS = 20
 # Cells of the histogram of a set's codes: the sum of the smaller counts bounds an overlap.
-CELLS = 256
+CELLS = 128
 # Members that one task compares with as many others.
 BLOCK = 1500
 
@@ -111,6 +111,19 @@ def _packed(code: np.ndarray, sizes: np.ndarray) -> pa.Array:
     )
 
 
+def _short(code: np.ndarray) -> bytes:
+    """Codes cut to 48 bits: two sets of a thousand codes take different ones for equal once
+    in a hundred million pairs."""
+    return np.ascontiguousarray(code.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+
+
+def _long(data) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    full = np.zeros((len(raw), 8), np.uint8)
+    full[:, 2:] = raw
+    return full.reshape(-1).view("<u8")
+
+
 def _similar_enough(n_a, n_b, overlap, percent: int):
     """Whether an overlap reaches the threshold: 100 * overlap >= percent * union."""
     return (100 + percent) * overlap >= percent * (n_a + n_b)
@@ -371,7 +384,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: in
                         [
                             _binaries(key[rows], 16),
                             pa.array(
-                                [code[edges[k] : edges[k + 1]].tobytes() for k in rows],
+                                [_short(code[edges[k] : edges[k + 1]]) for k in rows],
                                 pa.binary(),
                             ),
                         ],
@@ -386,8 +399,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: in
         for batch in batches:
             ok = []
             for a, b in zip(batch.column("left"), batch.column("right"), strict=True):
-                a = np.frombuffer(a.as_buffer(), np.uint64)
-                b = np.frombuffer(b.as_buffer(), np.uint64)
+                a, b = _long(a.as_buffer()), _long(b.as_buffer())
                 joint = np.concatenate([a, b])
                 joint.sort(kind="stable")
                 common = int((joint[1:] == joint[:-1]).sum())
@@ -437,13 +449,28 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     # What may still join two components: members of large buckets, of groups with several
     # classes, and of pairs of groups of which one has several.
     labels = cut_lineage(components(links))
-    several = classes.where("classes > 1").select("gid").distinct()
-    buckets = (
+    named = cut_lineage(
+        classes.select("cls", "gid", "classes")
+        .join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+        .select("cls", "gid", "classes", F.coalesce("component", "cls").alias("component"))
+    )
+    reach = named.groupBy("gid").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.max("classes").alias("classes"),
+    )
+    entries = (
         found.where("kind = 1")
         .select(F.col("x").alias("bucket"), F.col("y").alias("rid"), "place")
-        .join(owner, "rid")
+        .join(owner.join(reach, "gid"), "rid")
+        .select("bucket", "gid", "place", "low", "high")
+        .repartition("bucket")
+    )
+    mixed = entries.groupBy("bucket").agg(F.min("low").alias("a"), F.max("high").alias("b"))
+    buckets = (
+        entries.join(mixed.where("a < b").select("bucket"), "bucket", "left_semi")
         .groupBy("bucket", "gid").agg(F.min("place").alias("place"))
     )
+    several = named.where("classes > 1").select("gid").distinct()
     whole = several.select(F.col("gid").alias("bucket"), "gid")
     wide = pairs.join(several.withColumnRenamed("gid", "a"), "a", "left_semi").union(
         pairs.join(several.withColumnRenamed("gid", "b"), "b", "left_semi").select("a", "b")
@@ -451,10 +478,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     name = F.xxhash64("a", "b").alias("bucket")
     whole = whole.union(wide.select(name, "a")).union(wide.select(name, "b"))
     buckets = buckets.union(whole.select("bucket", "gid", F.lit(0).cast("long")))
-    members = (
-        buckets.join(classes.select("gid", "cls"), "gid")
-        .join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("bucket", "cls", "place", F.coalesce("component", "cls").alias("component"))
+    members = cut_lineage(
+        buckets.join(named.select("gid", "cls", "component"), "gid")
+        .select("bucket", "cls", "place", "component")
     )
     rest = _across(members, classes, percent).join(likely, ["a", "b"], "left_anti")
     rest = cut_lineage(rest)
@@ -462,10 +488,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         links = links.union(_verified(rest, docs, classes, shingle, percent))
         labels = cut_lineage(components(links))
 
-    named = classes.select("key", "cls").join(
+    final = classes.select("key", "cls").join(
         labels.withColumnRenamed("node", "cls"), "cls", "left"
     ).select("key", F.coalesce("component", "cls").alias("component"))
-    labelled = rows.join(named, "key", "left").select("doc_id", "n", "component")
+    labelled = rows.join(final, "key", "left").select("doc_id", "n", "component")
     least = labelled.where("component is not null").groupBy("component").agg(
         F.min("doc_id").alias("component_id")
     )
