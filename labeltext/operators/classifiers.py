@@ -198,19 +198,25 @@ def margins(
     df: DataFrame, models: FittedModels, key: str = KEY, text: str = TEXT,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """key, kept columns and ``margin_<model>`` per non-constant model. Each document's terms
-    shrink to one row of sums; documents without known terms get the intercept.
+    """key, kept columns and ``margin_<model>`` per non-constant model. Each text's terms
+    shrink to one row of sums; documents without known terms get the intercept. Rows find
+    their sums by their text's digest, so that repeated and null keys are scored right.
 
     Margins are rounded to 12 digits, so that copies of a text tie exactly, in whatever order
     their terms were added up."""
     linear = [h for h in models.heads if h.constant is None]
     columns = [f"w_{h.model}" for h in linear]
-    weighted = raw_weights(df, models.terms, models.params, key, text, per_term=columns)
-    sums = weighted.groupBy(key).agg(
+    rows = df.withColumn("_text_key", F.sha2(F.col(text), 256))
+    texts = rows.where(F.col("_text_key").isNotNull()).select("_text_key", text)
+    texts = texts.dropDuplicates(["_text_key"])
+    weighted = raw_weights(
+        texts, models.terms, models.params, "_text_key", text, per_term=columns
+    )
+    sums = weighted.groupBy("_text_key").agg(
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_length"),
         *[F.sum(F.col("weight") * F.col(c)).alias(c) for c in columns],
     )
-    return df.select(key, *(keep or [])).join(sums, key, "left").select(
+    return rows.select(key, *(keep or []), "_text_key").join(sums, "_text_key", "left").select(
         key,
         *(keep or []),
         *[

@@ -237,20 +237,27 @@ def latency_summary(
     log: DataFrame, latency: str, failed: Column, quantile: float = 0.95
 ) -> DataFrame:
     """Requests, failures, mean latency and the nearest-rank quantile at index
-    round((n-1) * quantile), from counts per distinct latency."""
+    round((n-1) * quantile), from counts per distinct latency. Requests without a latency
+    count as requests and failures; mean and quantile are of the others."""
     counts = log.groupBy(latency).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(failed).alias("failures")
     )
+    every = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("requests"),
+        F.coalesce(F.sum("failures"), F.lit(0)).alias("failures"),
+    )
     counts = counts.where(F.col(latency).isNotNull())
     total = counts.agg(F.sum("n")).scalar()
     wanted = F.bround((total - 1) * F.lit(quantile), 0) + 1
     sums = running_sums(counts, [], latency, ["n"])
-    return sums.agg(
-        F.sum("n").alias("requests"),
-        F.sum("failures").alias("failures"),
+    timed = sums.agg(
         (F.sum(F.col(latency) * F.col("n")) / F.sum("n")).alias("mean_latency_ms"),
         F.min(F.when(F.col("cum_n") >= wanted, F.col(latency))).alias("p95_latency_ms"),
     )
+    # One row each.
+    return every.join(timed, F.lit(True)).select(
+        "requests", "failures", "mean_latency_ms", "p95_latency_ms"
+    )
 
 
 def latest_children(runs: DataFrame) -> DataFrame:

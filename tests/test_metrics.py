@@ -125,3 +125,11 @@ def test_latest_children(spark):
         rows, "run_id string, parent_id string, name string, status string, start_time long"
     )
     assert [r["run_id"] for r in metrics.latest_children(runs).collect()] == ["c3", "c2"]
+
+
+def test_requests_without_latency_count(spark):
+    log = spark.createDataFrame(
+        [(10.0, False), (30.0, True), (None, True), (None, False)], "ms double, bad boolean"
+    )
+    row = metrics.latency_summary(log, "ms", F.col("bad")).first()
+    assert (row["requests"], row["failures"], row["mean_latency_ms"]) == (4, 2, 20.0)

@@ -210,3 +210,12 @@ def test_respond_and_score_table(spark, train, all_models):
     assert {"raw_index", "text_combined", "label", "prediction", "score"} <= set(table.columns)
     with pytest.raises(ValueError):
         score_table(df.drop("text"), all_models, "id")
+
+
+def test_repeated_and_null_keys_are_scored_by_their_own_text(train, all_models):
+    rows = predictions(train, all_models, keep=["text_combined"]).where("model <> 'dummy'")
+    want = {(r["text_combined"], r["model"]): r["score"] for r in rows.collect()}
+    for key in ("cast(null as bigint)", "cast(1 as bigint)"):
+        same = train.selectExpr(f"{key} as raw_index", "text_combined", "label")
+        got = predictions(same, all_models, keep=["text_combined"]).where("model <> 'dummy'")
+        assert {(r["text_combined"], r["model"]): r["score"] for r in got.collect()} == want
