@@ -51,6 +51,8 @@ PERCENT = 75
 RARITY_BITS = 20
 # Index entries that one task holds.
 BIN_ENTRIES = 400_000
+# Index entries, rounded to whole buckets, that are paired at a time.
+SLICE = 50_000
 # Groups in a bucket up to which all pairs are taken at once, and first members each other
 # one is paired with beyond.
 SMALL_BUCKET, PIVOTS = 4, 3
@@ -244,6 +246,24 @@ def _candidates(records: DataFrame, percent: int) -> DataFrame:
         del parts
         order = np.lexsort((rid, code))
         code, rid, n, place = code[order], rid[order], n[order], place[order]
+        # Slices of whole buckets, so that what is made of them stays small.
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        cuts = first[np.searchsorted(first, np.arange(0, len(code), SLICE))[1:] - 1]
+        cuts = np.unique(np.concatenate([[0], cuts, [len(code)]]))
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            for kind, x, y, late in paired(code[lo:hi], rid[lo:hi], n[lo:hi], place[lo:hi]):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(x), kind, np.int32)),
+                        pa.array(x),
+                        pa.array(y),
+                        pa.array(late),
+                    ],
+                    ["kind", "x", "y", "place"],
+                )
+
+    def paired(code, rid, n, place):
+        """The two kinds of rows of some buckets, ordered by code and number."""
         first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
         many = np.diff(np.append(first, len(code)))
         start, many = np.repeat(first, many), np.repeat(many, many)
@@ -260,22 +280,14 @@ def _candidates(records: DataFrame, percent: int) -> DataFrame:
             found.append((start[i] + k, i))
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
         ok = _may_link(n[a], n[b], place[a], place[b], percent) & (rid[a] != rid[b])
-        pairs = np.unique(np.stack([rid[a[ok]], rid[b[ok]]], axis=1), axis=0)
+        x, y = rid[a[ok]], rid[b[ok]]
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        new = np.ones(len(x), bool)
+        new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+        yield 0, x[new], y[new], np.zeros(int(new.sum()), np.int64)
         large = many > SMALL_BUCKET
-        x = np.concatenate([pairs[:, 0], code[large]])
-        y = np.concatenate([pairs[:, 1], rid[large]])
-        late = np.concatenate([np.zeros(len(pairs), np.int64), place[large]])
-        kind = np.repeat([0, 1], [len(pairs), int(large.sum())])
-        for k in range(0, len(x), 100_000):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(kind[k : k + 100_000], pa.int32()),
-                    pa.array(x[k : k + 100_000]),
-                    pa.array(y[k : k + 100_000]),
-                    pa.array(late[k : k + 100_000]),
-                ],
-                ["kind", "x", "y", "place"],
-            )
+        yield 1, code[large].astype(np.int64), rid[large], place[large]
 
     packed = held.mapInArrow(deal, "bin int, code binary, rid binary, n binary, place binary")
     return packed.repartitionById(bins, "bin").mapInArrow(
@@ -432,7 +444,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     )
     owner = rows.join(classes.select("key", "cls", "gid"), "key").select("rid", "gid")
 
-    found = cut_lineage(_candidates(records, percent))
+    found = stored(_candidates(records, percent))
     left = owner.select(F.col("rid").alias("x"), F.col("gid").alias("a"))
     right = owner.select(F.col("rid").alias("y"), F.col("gid").alias("b"))
     pairs = (
@@ -441,9 +453,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    pairs = cut_lineage(pairs)
+    pairs = stored(pairs)
     inner = classes.where("cls <> gid").select(F.col("gid").alias("a"), F.col("cls").alias("b"))
-    likely = cut_lineage(_overlapping(pairs.union(inner), classes, percent))
+    likely = stored(_overlapping(pairs.union(inner), classes, percent))
     links = cut_lineage(_verified(likely, docs, classes, shingle, percent))
 
     # What may still join two components: members of large buckets, of groups with several
@@ -478,7 +490,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     name = F.xxhash64("a", "b").alias("bucket")
     whole = whole.union(wide.select(name, "a")).union(wide.select(name, "b"))
     buckets = buckets.union(whole.select("bucket", "gid", F.lit(0).cast("long")))
-    members = cut_lineage(
+    members = stored(
         buckets.join(named.select("gid", "cls", "component"), "gid")
         .select("bucket", "cls", "place", "component")
     )
