@@ -26,12 +26,16 @@ from labeltext.session import cut_lineage
 
 @dataclass
 class Head:
-    """What a fitted model adds to the shared term table."""
+    """What a fitted model adds to the shared term table, and how its optimiser ended, if it
+    has one."""
 
     model: str
     score_type: str
     intercept: float = 0.0
     constant: int | None = None
+    iterations: int = 0
+    relative_gradient: float = 0.0
+    converged: bool = True
 
 
 @dataclass
@@ -112,16 +116,20 @@ def _balanced(options: dict) -> bool:
 
 def _linear(name: str, loss: str, score_type: str, max_iter: int):
     def fit(data: TrainingData, options: dict) -> tuple[Head, DataFrame | None]:
-        coefficients, bias = fit_blocks(
+        result = fit_blocks(
             data.blocks[_balanced(options)],
             data.n_features,
             loss,
             C=float(options.get("C", 1.0)),
             max_iter=int(options.get("max_iter", max_iter)),
         )
-        rows = [(i, float(w)) for i, w in enumerate(coefficients)]
+        rows = [(i, float(w)) for i, w in enumerate(result.coefficients)]
         table = data.features.sparkSession.createDataFrame(rows, "term_id bigint, w double")
-        return Head(name, score_type, intercept=bias), table
+        head = Head(
+            name, score_type, result.bias, None, result.iterations, result.relative_gradient,
+            result.converged,
+        )
+        return head, table
 
     return fit
 
@@ -260,14 +268,18 @@ def predictions(
 
 # ---- storage ---------------------------------------------------------------------------
 
+HEAD_COLUMNS = (
+    "position int, model string, score_type string, intercept double, constant int, "
+    "iterations int, relative_gradient double, converged boolean"
+)
+
 
 def save_models(models: FittedModels, path: str) -> None:
     """Term table as Parquet, heads and parameters as JSON rows."""
     spark = models.terms.sparkSession
     models.terms.write.mode("overwrite").parquet(f"{path}/terms")
     heads = spark.createDataFrame(
-        [(i, h.model, h.score_type, h.intercept, h.constant) for i, h in enumerate(models.heads)],
-        "position int, model string, score_type string, intercept double, constant int",
+        [(i, *asdict(head).values()) for i, head in enumerate(models.heads)], HEAD_COLUMNS
     )
     heads.coalesce(1).write.mode("overwrite").json(f"{path}/heads")
     values = asdict(models.params)
@@ -281,9 +293,7 @@ def save_models(models: FittedModels, path: str) -> None:
 
 def load_models(spark: SparkSession, path: str) -> FittedModels:
     heads = (
-        spark.read.schema(
-            "position int, model string, score_type string, intercept double, constant int"
-        )
+        spark.read.schema(HEAD_COLUMNS)
         .json(f"{path}/heads")
         .orderBy("position")
         .collect()
@@ -292,6 +302,6 @@ def load_models(spark: SparkSession, path: str) -> FittedModels:
     params["ngram_range"] = tuple(params["ngram_range"])
     return FittedModels(
         spark.read.parquet(f"{path}/terms"),
-        [Head(h["model"], h["score_type"], h["intercept"], h["constant"]) for h in heads],
+        [Head(*h[1:]) for h in heads],
         TfidfParams(**params),
     )

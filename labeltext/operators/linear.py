@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,17 @@ BLOCK = {
 }
 
 
+class Fit(NamedTuple):
+    """A fitted model. ``relative_gradient`` is the gradient's length at the end as a share of
+    that at zero; ``converged`` tells whether it shrank to the tolerance."""
+
+    coefficients: np.ndarray
+    bias: float
+    iterations: int
+    relative_gradient: float
+    converged: bool
+
+
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow batches of feature arrays -> rows of raw buffers (row starts, ids, values,
     signed labels, row weights)."""
@@ -121,8 +133,8 @@ def fit_blocks(
     C: float = 1.0,
     max_iter: int = 1000,
     tolerance: float = 1e-4,
-) -> tuple[np.ndarray, float]:
-    """Coefficients and bias."""
+) -> Fit:
+    """Fit one loss, for at most ``max_iter`` steps."""
     if loss not in LOSSES:
         raise ValueError(f"unknown loss {loss!r}, choose from {LOSSES}")
 
@@ -134,8 +146,9 @@ def fit_blocks(
         shared.unpersist()
         return C * total + 0.5 * float(point @ point), C * gradient + point
 
-    point = _minimize(objective, np.zeros(n_features + 1), max_iter, tolerance)
-    return point[:-1], float(point[-1])
+    start = np.zeros(n_features + 1)
+    point, steps, shrunk = _minimize(objective, start, max_iter, tolerance)
+    return Fit(point[:-1], float(point[-1]), steps, shrunk, shrunk <= tolerance)
 
 
 def fit_linear(
@@ -144,20 +157,23 @@ def fit_linear(
     """Coefficients and bias for one feature table."""
     blocks = training_blocks(features, balanced)
     try:
-        return fit_blocks(blocks, n_features, loss, **options)
+        fit = fit_blocks(blocks, n_features, loss, **options)
+        return fit.coefficients, fit.bias
     finally:
         blocks.unpersist()
 
 
-def _minimize(objective, point: np.ndarray, max_iter: int, tolerance: float) -> np.ndarray:
-    """Limited-memory BFGS with step halving, until the gradient has shrunk by
-    ``tolerance``."""
+def _minimize(
+    objective, point: np.ndarray, max_iter: int, tolerance: float
+) -> tuple[np.ndarray, int, float]:
+    """Limited-memory BFGS with step halving, until the gradient has shrunk by ``tolerance``.
+    Also returns the steps taken and how far the gradient has shrunk: after ``max_iter``
+    steps, or where no step lowers the value, the fit ends unfinished."""
     value, gradient = objective(point)
-    target = tolerance * max(1e-12, float(np.linalg.norm(gradient)))
+    unit = max(1e-12, float(np.linalg.norm(gradient)))
     steps: list[tuple[np.ndarray, np.ndarray]] = []
-    for _ in range(max_iter):
-        if np.linalg.norm(gradient) <= target:
-            break
+    taken = 0
+    while taken < max_iter and np.linalg.norm(gradient) > tolerance * unit:
         direction = _two_loop(gradient, steps)
         slope = float(gradient @ direction)
         size = 1.0 if steps else 1.0 / max(1.0, float(np.linalg.norm(gradient)))
@@ -173,7 +189,8 @@ def _minimize(objective, point: np.ndarray, max_iter: int, tolerance: float) ->
         if float(moved @ turned) > 1e-12 * float(turned @ turned):
             steps = [*steps, (moved, turned)][-HISTORY:]
         point, value, gradient = trial, trial_value, trial_gradient
-    return point
+        taken += 1
+    return point, taken, float(np.linalg.norm(gradient)) / unit
 
 
 def _two_loop(gradient: np.ndarray, steps) -> np.ndarray:

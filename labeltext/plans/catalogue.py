@@ -599,10 +599,12 @@ def train_four_models(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cross_slice_eval(spark: SparkSession, folder: str) -> DataFrame:
+    """The first phase's model and the second phase's best by validation F2."""
     by_phase = cut_lineage(phased(spark, folder))
     first = prepare.clean_dataset(sampling.phase_rows(by_phase, PHASE1))
     increment = cut_lineage(prepare.clean_dataset(sampling.phase_rows(by_phase, PHASE2)))
-    best = fitted(cut_lineage(preparation.modelling_table(by_phase)), ["linear_svc"])
+    run = training.train_and_compare(cut_lineage(preparation.modelling_table(by_phase)))
+    best = run.models.only(run.best)
     return training.cross_slice(
         fit_models(cut_lineage(first), ["logistic_regression"]), best, increment
     )
@@ -610,9 +612,7 @@ def cross_slice_eval(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parameter_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    path = _fresh(spark, "sweep")
-    names = ["dummy", "logistic_regression", "complement_nb"]
-    return training.sweep(modelling(spark, folder), path, names=names)
+    return training.sweep(modelling(spark, folder), _fresh(spark, "sweep"))
 
 
 def _fresh(spark: SparkSession, name: str) -> str:

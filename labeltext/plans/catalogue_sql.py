@@ -401,7 +401,7 @@ RESPONSE = (
     "CASE WHEN margin > 0 THEN 'phishing' ELSE 'legitimate' END AS label, "
     "CAST(margin > 0 AS BIGINT) AS prediction, margin > 0 AS is_phishing, "
     "round(1 / (1 + exp(-margin)), 9) AS score, 'probability' AS score_type, "
-    "'phase2_linear_svc' AS model_version, length(text_combined) AS normalized_text_length, "
+    "'phase2_complement_nb' AS model_version, length(text_combined) AS normalized_text_length, "
     "CASE WHEN margin > 0 THEN 'Phishing' ELSE 'Legitimate' END AS verdict, "
     + percentages("100.0 * (1 / (1 + exp(-margin)))")
     + " AS confidence FROM accepted JOIN accepted_scores USING (message_id)"

@@ -16,8 +16,8 @@ from labeltext.functions.text import clean_text
 from labeltext.operators.classifiers import FittedModels, predictions
 from labeltext.schema import TEXT, require_columns
 
-# Fixed value: the version reported when none is given.
-MODEL_VERSION = "phase2_linear_svc"
+# Fixed value: what precedes the model's name in the version reported when none is given.
+VERSION_PREFIX = "phase2_"
 
 
 def screen(messages: DataFrame, text: str = "text") -> DataFrame:
@@ -37,12 +37,13 @@ def respond(
     accepted: DataFrame,
     models: FittedModels,
     key: str,
-    model_version: str = MODEL_VERSION,
+    model_version: str | None = None,
 ) -> DataFrame:
     """The response columns for screened messages, one row per message and model."""
     with_length = accepted.withColumn("normalized_text_length", F.length(TEXT).cast("bigint"))
     scored = predictions(with_length, models, key, keep=["normalized_text_length"])
     score = finite(F.col("score"))
+    version = F.concat(F.lit(VERSION_PREFIX), "model") if model_version is None else F.lit(model_version)
     return scored.select(
         key,
         "model",
@@ -51,7 +52,7 @@ def respond(
         (F.col("prediction") == 1).alias("is_phishing"),
         score.alias("score"),
         "score_type",
-        F.lit(model_version).alias("model_version"),
+        version.alias("model_version"),
         "normalized_text_length",
         display_name(F.col("prediction")).alias("verdict"),
         confidence_text(score, F.col("score_type")).alias("confidence"),

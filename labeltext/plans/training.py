@@ -78,13 +78,26 @@ def cross_slice(first: FittedModels, second: FittedModels, increment: DataFrame)
     return parts[0].unionByName(parts[1])
 
 
+def fit_outcome(models: FittedModels, run_id: str) -> DataFrame:
+    """Rows of the run table that say how each model's optimiser ended."""
+    rows = [
+        (run_id, None, head.model, metric, float(getattr(head, metric)))
+        for head in models.heads
+        for metric in ("iterations", "relative_gradient", "converged")
+    ]
+    return models.terms.sparkSession.createDataFrame(
+        rows, "run_id string, parent_id string, model string, metric string, value double"
+    )
+
+
 def sweep(
     splits: DataFrame,
     path: str,
     runs: list[dict] = SWEEP,
     names: list[str] | None = None,
 ) -> DataFrame:
-    """Train once per parameter set and append the metrics of each run to the run table."""
+    """Train once per parameter set and append the metrics of each run, and how its fits
+    ended, to the run table."""
     for run in runs:
         params = TfidfParams(
             max_features=run["max_features"],
@@ -94,7 +107,8 @@ def sweep(
         )
         options = {"logistic_regression": {"C": run["C"]}}
         result = train_and_compare(splits, names, params, options)
-        append_rows(run_metrics(result.report, splits, run["name"]), path)
+        table = run_metrics(result.report, splits, run["name"])
+        append_rows(table.unionByName(fit_outcome(result.models, run["name"])), path)
     return splits.sparkSession.read.parquet(path)
 
 

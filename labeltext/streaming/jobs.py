@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from labeltext.operators.classifiers import FittedModels
 from labeltext.operators.sampling import PHASE1, PHASE2
 from labeltext.plans.drift_report import DriftProfile, drift_profile, report_of
-from labeltext.plans.scoring import MODEL_VERSION, respond, screen
+from labeltext.plans.scoring import respond, screen
 
 
 def read_messages(
@@ -43,7 +43,7 @@ def score_stream(
     rejected_path: str,
     checkpoint: str,
     text: str = "text",
-    model_version: str = MODEL_VERSION,
+    model_version: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
     """Screen each message; answers and rejections go to their own sinks. Rows keep no state

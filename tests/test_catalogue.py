@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from labeltext.plans.catalogue import QUERIES
+from labeltext.plans.catalogue_sql import ORACLE
 
 FOLDER = os.environ.get("CATALOGUE_DIR", "/root/testdata/sf0.001")
 TABLES = ("orders", "lineitem", "events", "documents", "labels", "conversations")
@@ -30,20 +32,20 @@ def normal(rows):
 
 
 def test_every_query_has_sql_or_a_reason():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, duck, name):
-    result = queries()[name](spark, FOLDER)
+    result = QUERIES[name](spark, FOLDER)
     columns = sorted(result.columns)
     found = normal(tuple(r) for r in result.select(*columns).collect())
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(ORACLE[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]

@@ -16,7 +16,13 @@ from labeltext.operators.classifiers import (
 from labeltext.operators.features import TfidfParams
 from labeltext.operators.linear import fit_linear
 from labeltext.plans.scoring import respond, score_table, screen
-from labeltext.plans.training import evaluate, scoring_throughput, sweep, train_and_compare
+from labeltext.plans.training import (
+    evaluate,
+    fit_outcome,
+    scoring_throughput,
+    sweep,
+    train_and_compare,
+)
 
 TEXTS = [
     ("win money now click link", 1), ("click here to win prize money", 1),
@@ -125,6 +131,28 @@ def test_linear_fit_reaches_the_optimum(spark, loss):
     assert np.allclose(np.append(w, b), point, atol=1e-4)
 
 
+def test_an_unfinished_fit_says_so(train):
+    options = {"logistic_regression": {"max_iter": 1}}
+    names = ["logistic_regression", "linear_svc", "dummy"]
+    models = fit_models(train, names, PARAMS, options)
+    short, full, constant = models.heads
+    assert not short.converged and short.iterations == 1 and short.relative_gradient > 1e-4
+    assert full.converged and full.iterations > 1 and full.relative_gradient <= 1e-4
+    assert constant.converged and constant.iterations == 0
+    outcome = {(r["model"], r["metric"]): r["value"] for r in fit_outcome(models, "r").collect()}
+    assert outcome["logistic_regression", "converged"] == 0.0
+    assert outcome["linear_svc", "converged"] == 1.0 and len(outcome) == 9
+
+
+def test_the_version_names_the_model_that_scored(spark, train):
+    models = fit_models(train, ["dummy", "complement_nb"], PARAMS)
+    messages = screen(spark.createDataFrame([("m", "a text that is long enough")], "k string, text string"))
+    versions = {r["model"]: r["model_version"] for r in respond(messages, models, "k").collect()}
+    assert versions == {"dummy": "phase2_dummy", "complement_nb": "phase2_complement_nb"}
+    given = respond(messages, models, "k", "v7").select("model_version").distinct().collect()
+    assert [r[0] for r in given] == ["v7"]
+
+
 def test_complement_nb_equals_formula(train):
     models = fit_models(train, ["complement_nb", "dummy"], PARAMS)
     kept, x = matrix()
