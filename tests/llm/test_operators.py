@@ -109,8 +109,9 @@ def _components(rows):
 
 def test_near_duplicates_equal_brute_force(docs, monkeypatch):
     want = _components([(r[0], r[1]) for r in ROWS])
-    for block in (jaccard_join.BLOCK, 7):
+    for block, slice_ in ((jaccard_join.BLOCK, jaccard_join.SLICE), (7, 5)):
         monkeypatch.setattr(jaccard_join, "BLOCK", block)
+        monkeypatch.setattr(jaccard_join, "SLICE", slice_)
         got = {r[0]: (r[1], r[2]) for r in jaccard_join.near_duplicates(docs).collect()}
         assert got == want
 
