@@ -2,7 +2,8 @@
 
 The test phrases are the runs of ``width`` words of the benchmark items. A shard is a run of
 documents that one task reads. Its string is what could hold a phrase at all: words and pairs
-of neighbours that occur in the benchmark, in runs long enough; everything else is a break.
+of neighbours that occur in the benchmark, in runs long enough; everything else is a break. A
+shard ends where its string has ``SHARD_WORDS`` words, which bounds the index.
 Over it a task builds an FM-index: suffix array, Burrows-Wheeler transform, wavelet tree with
 rank tables, and every ``SAMPLE``-th suffix position. All phrases are searched backwards
 together; occurrences are located by walking back to sampled positions, and the spans of
@@ -19,17 +20,20 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labeltext.llm.words import NOT_ALNUM, batch_words, cut_words, text_bytes
+from labeltext.llm.words import NOT_ALNUM, Words, batch_words, cut_words, text_bytes
 
 WIDTH = 10
 # Words of benchmark text in a block.
 BLOCK_WORDS = 2_000_000
+# Words of a shard's string, passed by at most those of one chunk of text.
+SHARD_WORDS = 200_000
 SAMPLE = 16
 STATE = "doc_id long, text string, spans array<array<int>>, items array<string>"
 
@@ -129,6 +133,15 @@ class FMIndex:
         return out
 
 
+class Runs(NamedTuple):
+    """Words that could be part of a phrase, as symbols, with a break after each run; the row
+    of each and its place among the row's words."""
+
+    symbol: np.ndarray
+    row: np.ndarray
+    place: np.ndarray
+
+
 class Phrases:
     """The phrases of a block of items, as symbols of the block's own vocabulary."""
 
@@ -169,53 +182,66 @@ class Phrases:
         at = np.minimum(np.searchsorted(self.vocabulary, code), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == code, at + 1, 0)
 
-    def find(self, words) -> Iterator[tuple[int, int, int, list[str]]]:
-        """(row, first word, end, items) of every occurrence of a phrase."""
+    def runs(self, words: Words, row: int) -> Runs:
+        """What of ``words``, whose first row is number ``row``, could hold a phrase."""
         symbol = self.symbols(words.code)
         # Runs of neighbours that the benchmark has, within one row.
         joined = np.zeros(len(symbol), bool)
         at = np.flatnonzero((symbol[1:] > 0) & (symbol[:-1] > 0) & (words.row[1:] == words.row[:-1]))
-        if len(at):
+        if len(at) and len(self.pairs):
             pair = self._pair(symbol[at], symbol[at + 1])
-            near = np.minimum(np.searchsorted(self.pairs, pair), max(len(self.pairs) - 1, 0))
-            if len(self.pairs):
-                joined[at + 1] = self.pairs[near] == pair
-        start = np.flatnonzero((symbol > 0) & ~joined)
-        if not len(start):
-            return
-        run = np.cumsum((symbol > 0) & ~joined) - 1
+            near = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+            joined[at + 1] = self.pairs[near] == pair
+        opens = (symbol > 0) & ~joined
+        start, run = np.flatnonzero(opens), np.cumsum(opens) - 1
         length = np.bincount(run[symbol > 0], minlength=len(start))
         keep = length >= self.shortest
-        if not keep.any():
-            return
         start, length = start[keep], length[keep]
-        # The shard's string: each run, then a break.
         size = length + 1
-        first = np.cumsum(size) - size
-        origin = np.repeat(start - first, size) + np.arange(int(size.sum()))
-        text = np.where(
-            np.arange(len(origin)) - np.repeat(first, size) < np.repeat(length, size),
-            symbol[np.minimum(origin, len(symbol) - 1)], len(self.vocabulary) + 1,
-        )
+        offset = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        at = np.minimum(np.repeat(start, size) + offset, len(symbol) - 1)
+        text = np.where(offset < np.repeat(length, size), symbol[at], len(self.vocabulary) + 1)
+        return Runs(text, row + words.row[at], at - words.first[words.row[at]])
+
+    def find(self, shard: list[Runs]) -> Iterator[tuple[int, int, int, list[str]]]:
+        """(row, first word, end, items) of every occurrence of a phrase; words are counted
+        within their row."""
+        text, row, start = (np.concatenate(parts) for parts in zip(*shard, strict=True))
+        if not len(text):
+            return
         index = FMIndex(text, (len(self.vocabulary) + 1).bit_length())
         for width, (rows, names) in self.by_length.items():
             low, high = index.search(rows)
             many = high - low
             hit = np.repeat(np.arange(len(rows)), many)
             place = np.repeat(low, many) + np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)
-            for which, word in zip(hit.tolist(), origin[index.locate(place)].tolist(), strict=True):
-                yield int(words.row[word]), word, word + width, names[which]
+            at = index.locate(place)
+            for which, r, word in zip(hit.tolist(), row[at].tolist(), start[at].tolist(), strict=True):
+                yield r, word, word + width, names[which]
+
+    def occurrences(
+        self, column: pa.Array, shard_words: int = SHARD_WORDS
+    ) -> Iterator[tuple[int, int, int, list[str]]]:
+        """``find`` over a text column, shard by shard. Text is cut in chunks, of which only
+        the runs are kept until the shard is full."""
+        shard, size = [], 0
+        for row, _, words in batch_words(column, NOT_ALNUM, True):
+            shard.append(self.runs(words, row))
+            size += len(shard[-1].symbol)
+            if size >= shard_words:
+                yield from self.find(shard)
+                shard, size = [], 0
+        if shard:
+            yield from self.find(shard)
 
 
 def _pass(docs: DataFrame, phrases: Phrases) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans, items = batch.column("spans").to_pylist(), batch.column("items").to_pylist()
-            for lo, _, words in batch_words(batch.column("text"), NOT_ALNUM, True, 8_000_000):
-                first = words.first
-                for row, start, end, names in phrases.find(words):
-                    spans[lo + row].append([start - int(first[row]), end - int(first[row])])
-                    items[lo + row].extend(names)
+            for row, start, end, names in phrases.occurrences(batch.column("text")):
+                spans[row].append([start, end])
+                items[row].extend(names)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -310,9 +336,8 @@ def _without(docs: DataFrame, phrases: Phrases) -> DataFrame:
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
-            for lo, _, words in batch_words(batch.column("text"), NOT_ALNUM, True, 8_000_000):
-                for row, *_ in phrases.find(words):
-                    keep[lo + row] = False
+            for row, *_ in phrases.occurrences(batch.column("text")):
+                keep[row] = False
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(clean, docs.schema)

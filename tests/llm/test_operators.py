@@ -9,6 +9,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,6 +192,24 @@ def test_contamination_equals_brute_force(spark, docs, empty):
     assert fm_index.contamination(docs, benchmark.limit(0)).where("contaminated").count() == 0
 
 
+def test_phrases_are_found_whatever_the_size_of_a_shard(monkeypatch):
+    """Chunks of a few rows and shards from one chunk to all of them give the same spans."""
+    rng = np.random.default_rng(3)
+    rows = [" ".join(rng.choice(["ab", "cd", "ef", "gh", "zz"], rng.integers(0, 30))) for _ in range(80)]
+    phrases = fm_index.Phrases([("x", "ab cd ef gh ab"), ("y", "cd"), ("z", "")], 3)
+    want = set()
+    for row, text in enumerate(rows):
+        words = text.split()
+        for phrase in ("ab cd ef", "cd ef gh", "ef gh ab", "cd"):
+            n = len(phrase.split())
+            want |= {(row, k, k + n) for k in range(len(words)) if words[k : k + n] == phrase.split()}
+    cut = fm_index.batch_words
+    monkeypatch.setattr(fm_index, "batch_words", lambda *args: cut(*args, 150))
+    for size in (1, 40, 10_000):
+        found = [x[:3] for x in phrases.occurrences(pa.array(rows), size)]
+        assert len(found) == len(want) and set(found) == want
+
+
 def test_fm_index_finds_every_occurrence():
     text = np.random.default_rng(0).integers(1, 4, 500)
     index = fm_index.FMIndex(text, 2)
