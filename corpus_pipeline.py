@@ -4,7 +4,8 @@
 2. ``near_duplicates``: one document of each group of near duplicates stays.
 3. ``decontaminate``: documents that hold a phrase of the benchmark go.
 4. ``secrets``: secrets are replaced by a mark in the text; no document goes.
-5. ``mix``: documents are drawn so that tokens meet the targets by source, language and topic."""
+5. ``mix``: documents are drawn, some more than once, so that the expected tokens meet the
+   targets by source, language and topic; ``copy`` numbers a document's copies."""
 
 from __future__ import annotations
 
@@ -36,7 +37,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.weigh(docs, mixing.Targets()).where("sampled").drop("sampled")
+    return mixing.draw(docs, mixing.Targets())
 
 
 STAGES = [

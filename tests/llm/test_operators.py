@@ -426,6 +426,35 @@ def test_mixing_meets_the_margins(docs, empty):
     assert mixing.weigh(empty, mixing.Targets()).count() == 0
 
 
+def test_drawn_tokens_meet_all_margins(spark):
+    """Cells that have to count several times, in a draw with the parameters in use."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(6000):
+        size = 20 if k % 3 == 0 else 700 if k % 3 == 1 else 100
+        lang = rng.choice(["en"] * 12 + ["de", "fr", "es", "xx"])
+        text = "a " * size + ("| b" if k % 20 == 0 else "License" if k % 20 == 1 else "###" if k % 20 == 2 else "")
+        rows.append((k, text, lang, f"src{rng.randrange(21)}"))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    targets = mixing.Targets()
+    got = mixing.draw(table.withColumn("copy", F.lit("extra")), targets).cache()
+    total = table.agg(F.sum(mixing.tokens())).first()[0]
+    drawn = got.agg(F.sum("n_tokens")).first()[0]
+    assert abs(drawn / total - 0.5) < 0.02
+    for column, shares in zip(("source_group", "lang_group", "topic"), targets.margins().values(), strict=True):
+        found = {r[0]: r[1] / drawn for r in got.groupBy(column).agg(F.sum("n_tokens")).collect()}
+        there = sum(shares[k] for k in found)
+        assert all(abs(v - shares[k] / there) < 0.015 for k, v in found.items()), (column, found)
+    assert got.where("copy > 0").count() and got.count() == got.select("doc_id", "copy").distinct().count()
+
+
+def test_targets_that_cannot_be_met_are_reported(spark):
+    rows = [(1, "a b", "en", "src0"), (2, "a b", "de", "src1")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    with pytest.warns(UserWarning, match="source_group src0"):
+        mixing.draw(table, mixing.Targets()).count()
+
+
 def test_calibrated_probabilities_keep_the_share():
     size, weight = np.array([10.0, 100.0, 50.0]), np.array([9.0, 0.5, 1.0])
     chance = mixing.calibrate(weight, size, 0.5, 200)
