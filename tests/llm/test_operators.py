@@ -242,6 +242,39 @@ def test_secrets(spark, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def test_secrets_joined_to_words_are_found(spark):
+    """Random keys alone and inside paths, query strings and compound names; words, digests
+    and UUIDs in such places are none."""
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    around = [
+        ("", ""), ("/services/production/webhooks/notifications/", ""), ("deploy-production-signing-key-", ""),
+        ("https://example.com/v1/callback?customer_reference=", "&page=2"), ("/archive/", "/download/attachments/original"),
+    ]
+    rows = []
+    for size in (16, 18, 20, 24, 32):
+        for before, after in around:
+            for _ in range(40):
+                key = rng.choice("0123456789") + "".join(rng.choices(letters, k=size - 1))
+                key = key[1:size // 2] + key[0] + key[size // 2:]
+                rows.append((before, key, f"see {before}{key}{after} end"))
+    harmless = [
+        "/services/production/items/123e4567-e89b-12d3-a456-426614174000/attachments",
+        "backup-production-database-2024-01-12-10-30-45", "/usr/lib/x86_64-linux-gnu/libexample2",
+        "/objects/sha1/0123456789ABCDEF0123456789ABCDEF01234567/raw", "user_profile_page2_section14",
+    ]
+    texts = [r[2] for r in rows] + harmless
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(table).collect()}
+    whole = 0
+    for k, (_, key, text) in enumerate(rows):
+        at = text.index(key)
+        spans = [list(map(int, s.split(":")[1:])) for s in got[k].split(",") if s.startswith("random")]
+        whole += any(a <= at and at + len(key) <= b for a, b in spans)
+    assert whole >= 0.97 * len(rows)
+    assert [got[len(rows) + k] for k in range(len(harmless))] == [""] * len(harmless)
+
+
 def test_redaction_keeps_all_else(spark):
     rows = [(k, t, len(t) if t else None, "z") for k, t in SECRETS]
     table = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, other string")
