@@ -16,6 +16,7 @@ from labeltext.llm import (
     pii,
     secrets,
     suffix_trees,
+    token_files,
     top_k,
     warc_bundles,
 )
@@ -96,3 +97,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, read back from the archive."""
+    folder = token_files.write_archive(
+        table(spark, sf_dir, "documents"), token_files.vocabulary()
+    )
+    return token_files.read_archive(spark, folder)
