@@ -181,6 +181,42 @@ select w.doc_id, coalesce(n, 0)::bigint as n_shingles,
 from words w left join sizes using (doc_id) left join least_id using (doc_id)
 """
 
+PHRASES = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, doc_id, unnest(regexp_split_to_array(
+    {LOWER.format(text="coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as piece from documents
+), words as materialized (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), sizes as (select lang, sum(len(w))::bigint as n from words group by lang),
+places as (
+  select lang, w, unnest(range(1, len(w) + 1)) as i from words
+), grams as (
+  select lang, w[i : i + k - 1] as p, k from places, unnest(range(1, 6)) as ks(k)
+  where i + k - 1 <= len(w)
+), frequent as materialized (
+  select lang, p, k, count(*)::hugeint as f from grams group by all having count(*) >= 100
+), inside as (
+  select lang, f, unnest([p[j : j + m - 1] for j in range(1, k - m + 2)]) as p
+  from (select lang, p, k, f, unnest(range(2, k)) as m from frequent where k > 2)
+), closed as (
+  select * from frequent c where k > 1
+    and not exists (select 1 from inside i where i.lang = c.lang and i.p = c.p and i.f >= c.f)
+), cuts as (
+  select c.lang, c.p, c.f as a, j, x.f as l, y.f as r, n, (1000 * c.f * n) // (x.f * y.f) as score
+  from (select *, unnest(range(1, k)) as j from closed) c
+  join frequent x on x.lang = c.lang and x.p = c.p[1 : j]
+  join frequent y on y.lang = c.lang and y.p = c.p[j + 1 : ]
+  join sizes s on s.lang = c.lang
+), best as (
+  select * from cuts qualify row_number() over (partition by lang, p order by score, j) = 1
+), ranked as (
+  select *, array_to_string(p, ' ') as phrase from best
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+  phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from ranked qualify rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_mixing": _mixing(),
     "op2_suffix_trees": REPEATS,
@@ -188,4 +224,5 @@ ORACLE: dict[str, str] = {
     "op5_top_k": TOP_K,
     "op6_warc_bundles": ARCHIVE,
     "op10_jaccard_join": NEAR,
+    "op12_phrases": PHRASES,
 }

@@ -13,6 +13,7 @@ from labeltext.llm import (
     language_id,
     main_text,
     mixing,
+    phrases,
     pii,
     secrets,
     suffix_trees,
@@ -106,3 +107,8 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), token_files.vocabulary()
     )
     return token_files.read_archive(spark, folder)
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
