@@ -26,7 +26,9 @@ archive without shards."""
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import json
 import os
 import struct
 import uuid
@@ -42,14 +44,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from labeltext.llm.shared import shuffle_partitions, stored
+from labeltext.llm.words import row_chunks, text_bytes
 from labeltext.session import checkpoint_dir
 
 END = 2
 SAMPLE_DOCS, SAMPLE_CHARS = 2000, 4000
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
-# Compressed bytes of a shard, and of text encoded at a time.
-SHARD_BYTES, ENCODE_CHARS = 64_000_000, 1_000_000
+# Compressed bytes of a shard, and bytes of text encoded at a time.
+SHARD_BYTES, ENCODE_BYTES = 64_000_000, 8_000_000
+# Parts of texts whose ids a task keeps, and the longest it keeps.
+KNOWN_PARTS, KNOWN_CHARS = 500_000, 32
 ROWS = 1000
 
 MAGIC, VERSION = b"LTIDS\0", 1
@@ -65,7 +70,12 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 
 class Encoder:
-    """Texts to arrays of token ids, each with the end id."""
+    """Text columns to arrays of token ids, each with the end id.
+
+    Where the tokenizer cuts texts by the usual byte-level pattern, no piece reaches over the
+    change from a visible character to white space. Texts are split there, the library encodes
+    each distinct part once, and the parts' ids are put together again; the result is that of
+    the whole text. Other tokenizers get whole texts."""
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -75,21 +85,108 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         most = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, END)
         self.kind = np.dtype("<u2" if most < 1 << 16 else "<u4")
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Arrays in the order of the texts, of which ``ENCODE_CHARS`` or one are in hand."""
-        part, size = [], 0
-        for text in texts:
-            if part and size + len(text) > ENCODE_CHARS:
-                yield from self._some(part)
-                part, size = [], 0
-            part.append(text)
-            size += len(text)
-        yield from self._some(part)
-
-    def _some(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array([*found.ids, END], self.kind)
+        rules = json.loads(self.tokenizer.to_str())
+        cut = rules["pre_tokenizer"] or {}
+        self.splits = (
+            rules["normalizer"] is None
+            and cut.get("type") == "ByteLevel"
+            and cut.get("use_regex", True)
+            and not cut.get("add_prefix_space", True)
+        )
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """The serialized ids of each text; about ``ENCODE_BYTES`` of texts are in hand."""
+        end = np.array([END], self.kind).tobytes()
+        data, edges = text_bytes(texts)
+        for lo, hi in row_chunks(edges, ENCODE_BYTES):
+            part, rows = data[edges[lo] : edges[hi]], edges[lo : hi + 1] - edges[lo]
+            ids, first = self._ids(part, rows)
+            for a, b in zip(first[:-1], first[1:], strict=True):
+                yield ids[a:b].tobytes() + end
+
+    def _ids(self, data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, and where each row's begin (and the end)."""
+        cut = np.zeros(len(data) + 1, bool)
+        cut[rows] = True
+        if self.splits:
+            cut[_splits(data)] = True
+        starts = np.flatnonzero(cut[:-1])
+        offsets = np.append(starts, len(data)).astype(np.int32)
+        parts = pa.StringArray.from_buffers(
+            len(starts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))
+        ).dictionary_encode()
+        which = parts.indices.to_numpy()
+        often = np.bincount(which, minlength=len(parts.dictionary)) > 1
+        ids = self._look_up(parts.dictionary.to_pylist(), often)
+        size = np.array([len(x) for x in ids], np.int64) // self.kind.itemsize
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        many = size[which]
+        ends = np.cumsum(many)
+        shift = (np.cumsum(size) - size)[which] - (ends - many)
+        at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+        at += np.repeat(shift.astype(np.int32), many)
+        first = np.concatenate([[0], ends])[np.searchsorted(starts, rows)]
+        return flat[at], first
+
+    def _look_up(self, parts: list[str], often: np.ndarray) -> list[bytes]:
+        """The ids of the parts; those that come often are remembered."""
+        known = self.known
+        ids = [known.get(p) for p in parts]
+        new = [k for k, x in enumerate(ids) if x is None]
+        plain = [k for k in new if self.splits and _plain(parts[k])]
+        for k, found in self._joined(parts, plain):
+            ids[k] = found
+        rest = [k for k in new if ids[k] is None]
+        for k, found in zip(rest, self._encode([parts[k] for k in rest]), strict=True):
+            ids[k] = found.tobytes()
+        if len(known) > KNOWN_PARTS:
+            known.clear()
+        known.update((parts[k], ids[k]) for k in new if often[k] and len(parts[k]) <= KNOWN_CHARS)
+        return ids
+
+    def _joined(self, parts: list[str], plain: list[int]) -> Iterator[tuple[int, bytes]]:
+        """Ids of parts without line ends, encoded many together with line ends between: a
+        line end among visible characters and single spaces is a piece and a token alone."""
+        groups = [plain[k : k + ROWS] for k in range(0, len(plain), ROWS)]
+        texts = ["\n".join([parts[k] for k in group]) for group in groups]
+        line = self._encode(["\n"])[0][0] if plain else None
+        for group, ids in zip(groups, self._encode(texts), strict=True):
+            ends = np.append(np.flatnonzero(ids == line), len(ids)).tolist()
+            first, data, width = 0, ids.tobytes(), ids.itemsize
+            for k, end in zip(group, ends, strict=True):
+                yield k, data[first * width : end * width]
+                first = end + 1
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, self.kind) for x in found]
+
+
+def _plain(part: str) -> bool:
+    """Whether a part has no white space but one space at its beginning."""
+    return part.split() == [part[1:] if part[0] == " " else part]
+
+
+@functools.cache
+def encoder(tokenizer: str) -> Encoder:
+    """One per Python process: tasks that share a process share the known parts."""
+    return Encoder(tokenizer)
+
+
+def _splits(data: np.ndarray) -> np.ndarray:
+    """Places where a piece begins whatever stands around: a space or line end after a visible
+    character, and what follows a line end between two visible characters. Visible are those of
+    ASCII and letters of two bytes; the lead bytes C3 to DF begin no white space."""
+    ascii_ = (data > 0x20) & (data < 0x7F)
+    lead = (data >= 0xC3) & (data <= 0xDF)
+    ends, begins = ascii_.copy(), ascii_ | lead
+    ends[1:] |= lead[:-1]
+    line = data == 0x0A
+    white = line | (data == 0x20)
+    before = np.flatnonzero(white[1:] & ends[:-1]) + 1
+    alone = before[line[before] & (before + 1 < len(data))]
+    return np.concatenate([before, alone[begins[alone + 1]] + 1])
 
 
 def _store(path: str) -> tuple[pafs.FileSystem, str]:
@@ -103,19 +200,22 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 def train_dictionary(docs: DataFrame, tokenizer: str, size: int = DICTIONARY_BYTES) -> bytes:
     """A dictionary for serialized ids; empty if the table is too small to train one."""
     length = F.char_length("text")
-    # A piece from a place given by a hash, so that not only beginnings are seen.
-    place = F.pmod(F.xxhash64("doc_id", length), F.greatest(length - SAMPLE_CHARS, F.lit(0)) + 1)
-    pieces = docs.where("text is not null").select(
-        "doc_id", F.substr("text", (place + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("piece")
+    rows = docs.where("text is not null").select("doc_id", "text").withColumn(
+        "by", F.xxhash64("doc_id", length)
     )
-    picked = pieces.select(F.xxhash64("doc_id", "piece").alias("by"), "piece")
+    # Rows with the smallest hashes; a bound on the hash leaves a few times as many as needed.
+    share = min(1.0, 4 * SAMPLE_DOCS / max(docs.count(), 1))
+    rows = rows.where(F.col("by") <= int(-(2**63) + share * (2**64 - 1025)))
+    # A piece from a place given by the hash, so that not only beginnings are seen.
+    place = F.pmod(F.xxhash64("by"), F.greatest(length - SAMPLE_CHARS, F.lit(0)) + 1) + 1
+    picked = rows.select("by", F.substr("text", place.cast("int"), F.lit(SAMPLE_CHARS)).alias("piece"))
     picked = picked.orderBy("by", "piece").limit(SAMPLE_DOCS)
 
     def serialize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder_ = encoder(tokenizer)
         for batch in batches:
-            ids = encoder.encode(batch.column("piece").to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in ids], pa.binary())], ["ids"])
+            ids = list(encoder_.encode(batch.column("piece")))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
     samples = [bytes(r[0]) for r in picked.mapInArrow(serialize, "ids binary").collect()]
     try:
@@ -128,7 +228,7 @@ def _frames(docs: DataFrame, tokenizer: str, dictionary: bytes) -> DataFrame:
     """A row per document with its compressed ids."""
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder_ = encoder(tokenizer)
         held = _dictionary(dictionary)
         if held is not None:
             held.precompute_compress(level=LEVEL)
@@ -136,13 +236,12 @@ def _frames(docs: DataFrame, tokenizer: str, dictionary: bytes) -> DataFrame:
             level=LEVEL, dict_data=held, write_checksum=False, write_dict_id=False
         )
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
+            for at in range(0, batch.num_rows, 4 * ROWS):
+                part = batch.slice(at, 4 * ROWS)
                 ties, many, frames = [], [], []
-                for ids in encoder.encode([t or "" for t in part.column("text").to_pylist()]):
-                    raw = ids.tobytes()
+                for raw in encoder_.encode(part.column("text")):
                     ties.append(int.from_bytes(hashlib.sha256(raw).digest()[:8], "little", signed=True))
-                    many.append(len(ids))
+                    many.append(len(raw) // encoder_.kind.itemsize)
                     frames.append(packer.compress(raw))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -174,7 +273,7 @@ def write_archive(docs: DataFrame, tokenizer: str, folder: str | None = None) ->
     frames = stored(_frames(docs, tokenizer, dictionary))
     total = frames.agg(F.sum("size")).first()[0] or 0
     shards = max(shuffle_partitions(spark), -(-total // SHARD_BYTES))
-    width = Encoder(tokenizer).kind.itemsize
+    width = encoder(tokenizer).kind.itemsize
     head = struct.pack(HEADER, MAGIC, VERSION, width, hashlib.sha256(dictionary).digest())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
