@@ -217,6 +217,46 @@ select lang, row_number() over (partition by lang order by score desc, a desc, p
 from ranked qualify rank <= 2000
 """
 
+# CRC-32, bit by bit; 3988292384 is its polynomial.
+CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+  range(1, len(c::varchar) + 1), lambda i: ascii(substr(c::varchar, i, 1))::bigint)),
+  lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)))"""
+
+TRIE = f"""
+with turns as materialized (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first,
+    sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 as place,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} as t
+  from conversations where conv_id is not null
+), originals as materialized (
+  select conv_id as c, list(t order by place) as w from turns group by conv_id
+), sharing as materialized (select c, w, c - c % 5 as base, {CRC} % 9 as h from originals),
+rebuilt as materialized (
+  select s.c, list_concat(coalesce(o.w[1 : s.h], []), s.w[s.h + 1 :]) as w
+  from sharing s left join originals o on o.c = s.base
+), paths as materialized (
+  select c, len(w) as size, d, w[1 : d] as p from (select c, w, unnest(range(0, len(w) + 1)) as d from rebuilt)
+), nodes as materialized (
+  select p, d, min(c) as conv_id, count(*) as n_convs,
+    coalesce(string_agg(case when size = d then c::varchar end, ',' order by c), '') as ends
+  from paths group by p, d
+), edges as materialized (
+  select n.p, n.d, q.p as parent, q.conv_id as parent_conv_id
+  from nodes n join nodes q on q.d = n.d - 1 and q.p = n.p[1 : n.d - 1] where n.d > 0
+), children as (select parent as p, d - 1 as d, count(*) as n from edges group by all),
+below as (
+  select x.p[1 : k] as p, k as d,
+    sum(case when x.d = 0 then 0 else (x.n_convs - 1) * strlen(x.p[x.d].text) end) as saved,
+    count(*) filter (where not exists (select 1 from edges e where e.d = x.d + 1 and e.parent = x.p)) as leaves
+  from (select *, unnest(range(0, d + 1)) as k from nodes) x group by all
+)
+select n.conv_id, n.d as depth, e.parent_conv_id, n.n_convs, coalesce(ch.n, 0) as n_children,
+  b.leaves as n_leaves, b.saved::bigint as saved_tokens, sha256(n.ends) as ends_sha256
+from nodes n left join edges e on e.p = n.p and e.d = n.d
+left join children ch on ch.p = n.p and ch.d = n.d join below b on b.p = n.p and b.d = n.d
+"""
+
 ORACLE: dict[str, str] = {
     "op1_mixing": _mixing(),
     "op2_suffix_trees": REPEATS,
@@ -225,4 +265,5 @@ ORACLE: dict[str, str] = {
     "op6_warc_bundles": ARCHIVE,
     "op10_jaccard_join": NEAR,
     "op12_phrases": PHRASES,
+    "op13_prefix_trie": TRIE,
 }

@@ -15,6 +15,7 @@ from labeltext.llm import (
     mixing,
     phrases,
     pii,
+    prefix_trie,
     secrets,
     suffix_trees,
     token_files,
@@ -112,3 +113,8 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
