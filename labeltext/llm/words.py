@@ -1,7 +1,8 @@
 """Vectorised word tokenising over Arrow text columns: helpers that run inside Spark tasks.
 
 Words are cut and hashed on the UTF-8 bytes of many texts at once, without a Python loop
-per word. Hashes are 64 bit; whoever compares them treats equal hashes as equal words."""
+per word. A word's hash is 64 bit, of a state of 128 bits that is scattered after every eight
+bytes; whoever compares hashes treats equal ones as equal words."""
 
 from __future__ import annotations
 
@@ -24,8 +25,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
-_POWERS = np.ones(1, dtype=np.uint64)
+_TURN = np.uint64(0xD6E8FEB86659FD93)
+# Masks for the first 0 to 8 bytes of a little-endian block.
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -34,13 +36,35 @@ NOT_ALNUM = np.zeros(256, dtype=bool)
 NOT_ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POWERS
-    if len(_POWERS) < n:
-        grown = np.full(max(n, 2 * len(_POWERS), 64), _STEP | np.uint64(1), dtype=np.uint64)
-        grown[0] = 1
-        _POWERS = np.multiply.accumulate(grown)
-    return _POWERS
+def word_codes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs that begin at ``start``. Two lanes take up the words'
+    blocks of eight bytes; each block changes both, and each lane the other, through ``mix``."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    # Eight bytes from every place on.
+    blocks = np.ndarray((len(data) + 1,), "<u8", buffer=padded, strides=(1,))
+    one = mix(length.astype(np.uint64) * _STEP + _TURN)
+    two = one ^ _STEP
+    # Words with a further block come first, so that each round works on a shorter run.
+    order = np.argsort(-((length + 7) // 8), kind="stable") if length.max() > 8 else None
+    if order is not None:
+        start, length, one, two = start[order], length[order], one[order], two[order]
+    place, many = 0, len(start)
+    while many:
+        left = np.minimum(length[:many] - place, 8)
+        block = blocks[start[:many] + place] & _MASKS[left]
+        first = mix((one[:many] ^ block) * _TURN + two[:many])
+        two[:many] = mix(two[:many] + block * _STEP) ^ (first >> np.uint64(17))
+        one[:many] = first
+        place += 8
+        many = int(np.count_nonzero(length[:many] > place))
+    code = mix(one + two * _STEP)
+    if order is not None:
+        out = np.empty_like(code)
+        out[order] = code
+        return out
+    return code
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -104,12 +128,7 @@ def cut_words(data: np.ndarray, edges: np.ndarray, separator: np.ndarray, lower:
         return Words(none, none, none, np.zeros(0, np.uint64), np.zeros(rows, np.int64))
     row = np.searchsorted(edges, start, side="right") - 1
     length = end - start
-    place = np.arange(size - start[0]) - np.repeat(
-        start - start[0], np.diff(np.append(start, size))
-    )
-    value = _BYTE_CODE[data[start[0] :]] * _powers(int(place.max()) + 1)[place]
-    value[~inside[start[0] :]] = 0
-    code = mix(np.add.reduceat(value, start - start[0]) + length.astype(np.uint64) * _STEP)
+    code = word_codes(data, start, length)
     return Words(row, start, end, code, np.bincount(row, minlength=rows))
 
 
@@ -124,15 +143,23 @@ def batch_words(
 
 
 def windows(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """First word and 64-bit hash of every run of ``width`` words within one row."""
+    """First word and 64-bit hash of every run of ``width`` words within one row. Hashes of
+    runs of 1, 2, 4, ... words are put together, scattered each time."""
     n = len(words.code) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    code = words.code[:n].copy()
-    for k in range(1, width):
-        code = code * _STEP + words.code[k : k + n]
+    code, done, run, size = None, 0, words.code, 1
+    while True:
+        if width & size:
+            part = run[done : done + n]
+            code = part if code is None else mix(code * _STEP + part)
+            done += size
+        size *= 2
+        if size > width:
+            break
+        run = mix(run[: len(run) - size // 2] * _TURN + run[size // 2 :])
     at = np.flatnonzero(words.row[:n] == words.row[width - 1 :])
-    return at, mix(code[at])
+    return at, mix(code[at] + np.uint64(width))
 
 
 def row_shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,7 +174,7 @@ def row_shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
         for k in range(width - 1):
             has = words.per_row[short] > k
             take = words.code[np.minimum(first[short] + k, len(words.code) - 1)]
-            extra = np.where(has, extra * _STEP + take, extra)
+            extra = np.where(has, mix(extra * _STEP + take), extra)
         extra = mix(extra + words.per_row[short].astype(np.uint64))
         row, code = np.concatenate([row, short]), np.concatenate([code, extra])
     order = np.lexsort((code, row))
