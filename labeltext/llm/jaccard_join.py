@@ -31,12 +31,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.types import BinaryType, MapType, StructField, StructType
 
 from labeltext.llm.shared import (
     by_bin,
     components,
     count_cells,
+    discard,
     shuffle_partitions,
     squeeze,
     stored,
@@ -423,8 +424,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: in
     return both.select("a", "b", "left", "right").mapInArrow(similar, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id that links lead to) of each row."""
+def _labelled(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """A stored row per row of ``docs``: doc_id, n (set size), key of the set, and component,
+    null without shingles. Tables made on the way are removed when nothing reads them."""
     bits = RARITY_BITS
 
     def cells(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -434,7 +436,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     counts = count_cells(docs.select("text"), 1 << bits, cells)
     records = stored(_records(docs, counts, bits, shingle, percent))
-    rows = records.select("rid", "doc_id", "n", "key", "grp")
+    rows = stored(records.select("rid", "doc_id", "n", "key", "grp"))
     sets = rows.where("n > 0").groupBy("key", "n", "grp").agg(F.min("rid").alias("cls"))
     groups = sets.groupBy("grp", "n").agg(F.min("cls").alias("gid"), F.count("*").alias("classes"))
     shown = records.select(F.col("rid").alias("cls"), "cells")
@@ -445,6 +447,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     owner = rows.join(classes.select("key", "cls", "gid"), "key").select("rid", "gid")
 
     found = stored(_candidates(records, percent))
+    discard(records)
     left = owner.select(F.col("rid").alias("x"), F.col("gid").alias("a"))
     right = owner.select(F.col("rid").alias("y"), F.col("gid").alias("b"))
     pairs = (
@@ -503,7 +506,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     final = classes.select("key", "cls").join(
         labels.withColumnRenamed("node", "cls"), "cls", "left"
     ).select("key", F.coalesce("component", "cls").alias("component"))
-    labelled = rows.join(final, "key", "left").select("doc_id", "n", "component")
+    labelled = stored(rows.join(final, "key", "left").select("doc_id", "n", "key", "component"))
+    for table in (rows, classes, found, pairs, likely, members):
+        discard(table)
+    return labelled
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id (smallest doc_id that links lead to) of each row."""
+    labelled = _labelled(docs, shingle, percent)
     least = labelled.where("component is not null").groupBy("component").agg(
         F.min("doc_id").alias("component_id")
     )
@@ -519,17 +530,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 def drop_near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """One row of each group of near duplicates, that with the smallest doc_id, with all its
-    columns. Of rows with equal ids one stays, the first by text; rows without shingles or
-    without an id all stay, as nothing links or names them.
+    """One row of each group of near duplicates, with all its columns: that with the smallest
+    doc_id (null ids last), of several such the first by the key of its set and then by text.
+    Rows are told apart by doc_id and set, so a row with another text stays whatever becomes of
+    a row with the same id. Rows without shingles all stay.
 
     Only rows that may go are moved: a filter of fixed size over their ids, which never misses
-    one, tells the others apart."""
-    verdict = near_duplicates(docs, shingle, percent).where("doc_id is not null and n_shingles > 0")
-    verdict = verdict.groupBy("doc_id").agg(
-        F.count("*").alias("_rows"),
-        F.max(F.col("component_id") == F.col("doc_id")).alias("_stays"),
-    ).where("_rows > 1 or not _stays")
+    one, tells the others apart. Copies collapse within tasks before they meet."""
+    labelled = _labelled(docs, shingle, percent).where("component is not null")
+    who = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
+    first = labelled.groupBy("component").agg(F.min(who).alias("first"))
+    verdict = labelled.groupBy("doc_id", "key").agg(
+        F.count("*").alias("rows"), F.first("component").alias("component")
+    ).join(first, "component")
+    verdict = verdict.select(
+        F.col("doc_id").alias("_id"), F.col("key").alias("_set"), "rows", (who == F.col("first")).alias("_stays")
+    ).where("rows > 1 or not _stays").drop("rows")
     verdict = cut_lineage(verdict)
     bits = FILTER_BITS
 
@@ -538,22 +554,36 @@ def drop_near_duplicates(
         return (mix(known) >> np.uint64(64 - bits)).astype(np.int64)
 
     table = np.packbits(
-        count_cells(
-            verdict.select("doc_id"), 1 << bits, lambda batch: iter([cells(batch.column("doc_id"))])
-        ) > 0
+        count_cells(verdict.select("_id"), 1 << bits, lambda batch: iter([cells(batch.column("_id"))])) > 0
     )
 
     def part(wanted: bool):
         def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             test = np.unpackbits(table).astype(bool)
             for batch in batches:
-                ids = batch.column("doc_id")
-                hit = test[cells(ids)] & pc.is_valid(ids).to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(hit == wanted))
+                yield batch.filter(pa.array(test[cells(batch.column("doc_id"))] == wanted))
 
         return docs.mapInArrow(choose, docs.schema)
 
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").isNull(), F.md5("text"))
-    asked = part(True).join(verdict, "doc_id", "left").where("_stays or _stays is null")
-    once = asked.withColumn("_place", F.row_number().over(order)).where("_rows is null or _place = 1")
-    return part(False).union(once.select(docs.columns))
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, words in batch_words(batch.column("text"), WHITE, lower=True):
+                row, code = row_shingles(words, shingle)
+                size, key = _set_keys(row, code, hi - lo)
+                keys = pa.array([k if n else None for k, n in zip(_binaries(key, 16).to_pylist(), size, strict=True)], pa.binary())
+                rows = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*rows.columns, keys], [*names, "_set"])
+
+    names = docs.columns
+    kinds = StructType([*docs.schema.fields, StructField("_set", BinaryType())])
+    asked = part(True).mapInArrow(keyed, kinds)
+    plain = [f.name for f in docs.schema if not isinstance(f.dataType, MapType)]
+    order = F.struct(F.col("text").isNull(), F.md5("text"), F.xxhash64(*plain))
+    once = asked.where("_set is not null").groupBy(F.col("doc_id").alias("_own"), "_set").agg(
+        F.min_by(F.struct(*names), order).alias("_row")
+    )
+    once = once.join(
+        verdict.withColumnRenamed("_set", "_key"),
+        F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_set") == F.col("_key")), "left",
+    ).where("_stays or _stays is null").select("_row.*")
+    return part(False).union(asked.where("_set is null").select(names)).union(once)
