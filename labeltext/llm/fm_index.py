@@ -145,7 +145,7 @@ class Runs(NamedTuple):
 class Phrases:
     """The phrases of a block of items, as symbols of the block's own vocabulary."""
 
-    def __init__(self, items: list[tuple[str, str]], width: int):
+    def __init__(self, items: list[tuple[str | None, str]], width: int):
         texts = pa.array([text for _, text in items], pa.large_string())
         words = cut_words(*text_bytes(texts), NOT_ALNUM, True)
         self.width = width
@@ -159,7 +159,9 @@ class Phrases:
             own = symbol[first[k] : first[k + 1]]
             pairs.append(self._pair(own[:-1], own[1:]))
             for at in range(max(1, len(own) - width + 1) if len(own) else 0):
-                owners.setdefault(tuple(own[at : at + width].tolist()), set()).add(name)
+                named = owners.setdefault(tuple(own[at : at + width].tolist()), set())
+                if name is not None:
+                    named.add(name)
         self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
         for phrase, names in owners.items():
             rows, who = self.by_length.setdefault(len(phrase), ([], []))
@@ -265,9 +267,10 @@ def _merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, size: int) -> Iterator[list[tuple[str, str]]]:
-    """The items in blocks of about ``size`` words, one of which the driver holds at a time."""
-    items = benchmark.where("text is not null and item_id is not null").select(
+def _blocks(benchmark: DataFrame, size: int) -> Iterator[list[tuple[str | None, str]]]:
+    """The items in blocks of about ``size`` words, one of which the driver holds at a time.
+    An item without an id is searched too: its hits count, but it names and counts as none."""
+    items = benchmark.where("text is not null").select(
         F.col("item_id").cast("string").alias("item_id"), "text"
     )
     block, words = [], 0

@@ -236,8 +236,9 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 def redact_secrets(
     docs: DataFrame, vocabulary: str = VOCABULARY, chars_per_token: float = CHARS_PER_TOKEN
 ) -> DataFrame:
-    """``docs`` with its columns, secrets in ``text`` replaced by a mark and ``n_chars`` brought
-    up to date; texts without secrets, null ones too, stay as they are."""
+    """``docs`` with its columns, secrets in ``text`` replaced by a mark and ``n_chars``, if there
+    is such a column, brought up to date in its own type; texts without secrets, null ones too,
+    stay as they are."""
     scanner = Scanner(docs.sparkSession.sparkContext, vocabulary, chars_per_token)
     names = docs.columns
 
@@ -245,14 +246,17 @@ def redact_secrets(
         for batch in batches:
             at = names.index("text")
             texts = batch.column(at).to_pylist()
-            sizes = batch.column(names.index("n_chars")).to_pylist()
+            size_at = names.index("n_chars") if "n_chars" in names else None
+            sizes = [None] * len(texts) if size_at is None else batch.column(size_at).to_pylist()
             for k, text in enumerate(texts):
                 if text and (spans := scanner.spans(text)):
                     texts[k] = redact(text, spans)
                     sizes[k] = len(texts[k])
             columns = list(batch.columns)
             columns[at] = pa.array(texts, batch.column(at).type)
-            columns[names.index("n_chars")] = pa.array(sizes, pa.int64())
+            if size_at is not None:
+                kind = batch.column(size_at).type
+                columns[size_at] = pa.array([str(n) if pa.types.is_string(kind) and n is not None else n for n in sizes], kind)
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.mapInArrow(clean, docs.schema)

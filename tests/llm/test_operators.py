@@ -127,6 +127,42 @@ def test_one_document_of_each_group_stays(docs, empty):
     assert jaccard_join.drop_near_duplicates(empty).count() == 0
 
 
+def test_each_text_of_a_repeated_id_is_judged_alone(spark):
+    prose = lambda seed: " ".join(random.Random(seed).choices([f"v{k}" for k in range(99)], k=60))
+    a, b, c, d = map(prose, range(4))
+    rows = [(3, a), (5, a), (5, b), (6, c), (6, c + " more"), (6, c), (None, b), (None, d), (None, d), (7, None), (7, " ")]
+    table = spark.createDataFrame([(k, t, {"k": "v"}) for k, t in rows], "doc_id long, text string, _set map<string,string>")
+    table = table.withColumnRenamed("_set", "extra").repartition(3)
+    kept = jaccard_join.drop_near_duplicates(table).collect()
+    left = sorted((str(r.doc_id), r.text or "") for r in kept)
+    assert left in (
+        sorted([("3", a), ("5", b), ("6", six), ("None", d), ("7", ""), ("7", " ")]) for six in (c, c + " more")
+    )
+
+
+def _complements(many):
+    """Thue-Morse words: many equal halves, and sums of powers that agree."""
+    word = "a"
+    while len(word) < many:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word[:many], word[:many].translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("many", [1024, 2048, 1500])
+def test_different_long_words_stay_different(spark, many):
+    one, two = _complements(many)
+    line = " ".join(f"n{k}" for k in range(6))
+    rows = [(1, f"{line} {one} {line}"), (2, f"{line} {two} {line}")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.n_removed for r in suffix_trees.drop_repeats(table).collect()] == [0, 0]
+    short = spark.createDataFrame([(1, f"w x {one} y z"), (2, f"w x {two} y z")], "doc_id long, text string")
+    found = jaccard_join.near_duplicates(short).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 2)}
+    item = spark.createDataFrame([(9, two)], "item_id long, text string")
+    hits = {r.doc_id: r.n_hit for r in fm_index.contamination(table, item).collect()}
+    assert hits == {1: 0, 2: 1}
+
+
 def test_null_ids_link_but_name_nothing(spark):
     text = " ".join(f"a{k}" for k in range(30))
     rows = [(None, text), (9, text), (None, None), (4, text), (4, text)]
@@ -168,9 +204,8 @@ def test_contamination_equals_brute_force(spark, docs, empty):
     phrases = defaultdict(set)
     for name, text in items:
         w = word.findall((text or "").translate(LOWER))
-        if name is not None and w:
-            for k in range(max(1, len(w) - 9)):
-                phrases[tuple(w[k : k + 10])].add(str(name))
+        for k in range(max(1, len(w) - 9) if w else 0):
+            phrases[tuple(w[k : k + 10])] |= set() if name is None else {str(name)}
     sizes = {len(p) for p in phrases}
     want = {}
     for doc, text, *_ in ROWS:
@@ -281,6 +316,11 @@ def test_redaction_keeps_all_else(spark):
     got = {r[0]: r for r in secrets.redact_secrets(table).collect()}
     assert got[2]["text"] == "see [SECRET] and AKIASHORT" and got[2]["n_chars"] == len(got[2]["text"])
     assert got[4]["text"] is None and got[8]["text"] == SECRETS[7][1] and got[8]["other"] == "z"
+    for kind in ("int", "string", "double", None):
+        other = table.drop("n_chars") if kind is None else table.withColumn("n_chars", F.col("n_chars").cast(kind))
+        again = secrets.redact_secrets(other)
+        assert again.schema == other.schema
+        assert {r[0]: r["text"] for r in again.collect()} == {k: r["text"] for k, r in got.items()}
 
 
 VECTORS = "vec_id long, embedding array<float>, rank int"
