@@ -3,9 +3,11 @@ rows that are not plain ASCII."""
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,17 +53,29 @@ def normalize_label(column: Column) -> Column:
     return F.when(number.isin(0.0, 1.0), number.cast("bigint"))
 
 
-def _fold(text: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+@functools.cache
+def _combining() -> str:
+    """A character class of all characters with a combining class, from Python's tables."""
+    codes = [k for k in range(0x110000) if unicodedata.combining(chr(k))]
+    ranges, first = [], None
+    for k, code in enumerate(codes):
+        first = code if first is None else first
+        if k + 1 == len(codes) or codes[k + 1] != code + 1:
+            ranges.append(f"\\x{{{first:x}}}-\\x{{{code:x}}}")
+            first = None
+    return f"[{''.join(ranges)}]+"
 
 
 def fold_accents(column: Column) -> Column:
     """Compatibility-decompose and drop combining marks. Spark has no such function, so rows
-    with a non-ASCII character pass through Arrow; ASCII rows do not leave the JVM."""
-
-    @F.pandas_udf("string")
-    def fold_rows(texts: pd.Series) -> pd.Series:
-        return texts.map(_fold, na_action="ignore")
+    with a non-ASCII character pass through Arrow; ASCII rows do not leave the JVM. Texts are
+    decomposed by Python's tables (Arrow's are of another Unicode version), a text at a time."""
+    marks = _combining()
+
+    @F.arrow_udf("string")
+    def fold_rows(texts: pa.Array) -> pa.Array:
+        plain = [t if t is None else unicodedata.normalize("NFKD", t) for t in texts.to_pylist()]
+        return pc.replace_substring_regex(pa.array(plain, pa.string()), marks, "")
 
     return F.coalesce(fold_rows(F.when(~column.rlike(ASCII), column)), column)
 

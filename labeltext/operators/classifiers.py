@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from labeltext.functions.scoring import MARGIN, PROBABILITY, sigmoid
 from labeltext.operators.features import (
     TfidfParams,
-    feature_arrays,
-    raw_weights,
-    tfidf_weights,
+    document_sums,
+    document_weights,
+    free_name,
     vocabulary,
 )
 from labeltext.operators.linear import fit_blocks, training_blocks
@@ -148,18 +148,7 @@ def training_features(
     train: DataFrame, vocab: DataFrame, params: TfidfParams, key: str = KEY, text: str = TEXT
 ) -> DataFrame:
     """(key, label, indices, values), with empty arrays for documents without known terms."""
-    weights = tfidf_weights(train, vocab, params, key, text)
-    arrays = feature_arrays(weights, [key])
-    return (
-        train.select(key, LABEL)
-        .join(arrays, key, "left")
-        .select(
-            key,
-            LABEL,
-            F.coalesce("indices", F.array().cast("array<int>")).alias("indices"),
-            F.coalesce("values", F.array().cast("array<double>")).alias("values"),
-        )
-    )
+    return document_weights(train, vocab, params, text, [key, LABEL])
 
 
 def fit_models(
@@ -176,7 +165,7 @@ def fit_models(
     unknown = sorted(set(names) - set(REGISTRY))
     if unknown:
         raise ValueError(f"unsupported models: {unknown}")
-    vocab = cut_lineage(vocabulary(train, params, key, text))
+    vocab = cut_lineage(vocabulary(train, params, text))
     features = cut_lineage(training_features(train, vocab, params, key, text))
     data = TrainingData(features, vocab.count())
     options = {name: (options or {}).get(name, {}) for name in names}
@@ -206,31 +195,18 @@ def margins(
     df: DataFrame, models: FittedModels, key: str = KEY, text: str = TEXT,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """key, kept columns and ``margin_<model>`` per non-constant model. Each text's terms
-    shrink to one row of sums; documents without known terms get the intercept. Rows find
-    their sums by their text's digest, so that repeated and null keys are scored right.
+    """key, kept columns and ``margin_<model>`` per non-constant model, a row per row of
+    ``df``, in one map over its texts; documents without known terms get the intercept.
 
-    Margins are rounded to 12 digits, so that copies of a text tie exactly, in whatever order
-    their terms were added up."""
+    Margins are rounded to 12 digits; a text's terms are added up in term order."""
     linear = [h for h in models.heads if h.constant is None]
     columns = [f"w_{h.model}" for h in linear]
-    rows = df.withColumn("_text_key", F.sha2(F.col(text), 256))
-    texts = rows.where(F.col("_text_key").isNotNull()).select("_text_key", text)
-    texts = texts.dropDuplicates(["_text_key"])
-    weighted = raw_weights(
-        texts, models.terms, models.params, "_text_key", text, per_term=columns
-    )
-    sums = weighted.groupBy("_text_key").agg(
-        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_length"),
-        *[F.sum(F.col("weight") * F.col(c)).alias(c) for c in columns],
-    )
-    return rows.select(key, *(keep or []), "_text_key").join(sums, "_text_key", "left").select(
-        key,
-        *(keep or []),
+    carried = list(dict.fromkeys([key, *(keep or [])]))
+    sums = document_sums(df, models.terms, columns, models.params, text, carried)
+    return sums.select(
+        *carried,
         *[
-            F.round(
-                F.coalesce(F.col(c) / F.col("_length"), F.lit(0.0)) + F.lit(h.intercept), 12
-            ).alias(f"margin_{h.model}")
+            F.round(F.col(free_name(carried, c)) + F.lit(h.intercept), 12).alias(f"margin_{h.model}")
             for h, c in zip(linear, columns)
         ],
     )

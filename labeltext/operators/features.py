@@ -1,20 +1,24 @@
-"""TF-IDF as long tables: (key, term id, weight) instead of one sparse matrix.
+"""TF-IDF features.
 
-The vocabulary comes from map-side partial sums per term. For weights and scores, texts are
-partitioned by key before they are taken apart; counting and summing per document then needs
-no further shuffle, and one row per document is all that moves on.
-"""
+The vocabulary comes from map-side partial sums per term; it is bounded by ``max_features``.
+Applying it is a map over the rows: Spark tokenises, an Arrow stage looks all n-grams of a batch
+up in the vocabulary and adds up each document. No text, token or key is shuffled, and rows
+with equal or null keys are documents of their own."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml.linalg import Vectors, VectorUDT
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labeltext.functions.text import analyzed_text, tokens
-from labeltext.session import bounded
 from labeltext.schema import KEY, MAX_DF, MAX_FEATURES, MIN_DF, NGRAM_RANGE, TEXT
 
 
@@ -28,45 +32,6 @@ class TfidfParams:
     strip_accents: bool = True
 
 
-def terms(
-    df: DataFrame, params: TfidfParams = TfidfParams(), key: str = KEY, text: str = TEXT,
-    keep: list[str] | None = None,
-) -> DataFrame:
-    """One row per term occurrence: (key, kept columns, term)."""
-    low, high = params.ngram_range
-    carried = [key, *(keep or [])]
-    # Texts move once, by key, so that all work on one document stays in one partition. The
-    # step falls away if the table is already partitioned like that. Folding comes before:
-    # Spark forgets the partitioning behind a Python function.
-    tokenized = (
-        df.select(
-            *carried,
-            analyzed_text(F.col(text), params.lowercase, params.strip_accents).alias("_text"),
-        )
-        .repartition(key)
-        .select(*carried, tokens(F.col("_text")).alias("_tokens"))
-    )
-    # Token i next to its successors, then one row per start position and n-gram length.
-    shifted = [
-        F.slice("_tokens", F.lit(i + 1), F.greatest(F.size("_tokens") - i, F.lit(0))).alias(f"t{i}")
-        for i in range(high)
-    ]
-    starts = tokenized.select(*carried, F.explode(F.arrays_zip(*shifted)).alias("_at"))
-    grams = [
-        F.concat(*_spaced([F.col(f"_at.t{i}") for i in range(n)])) for n in range(low, high + 1)
-    ]
-    return starts.select(*carried, F.explode(F.array(*grams)).alias("term")).where(
-        F.col("term").isNotNull()
-    )
-
-
-def _spaced(parts: list[Column]) -> list[Column]:
-    out = parts[:1]
-    for part in parts[1:]:
-        out += [F.lit(" "), part]
-    return out
-
-
 def _grams(tokens_: str, low: int, high: int) -> Column:
     """All n-grams of a token array column, as one array."""
     size = F.size(tokens_)
@@ -83,31 +48,38 @@ def _grams(tokens_: str, low: int, high: int) -> Column:
     return F.concat(*kept)
 
 
-def vocabulary(
-    df: DataFrame, params: TfidfParams = TfidfParams(), key: str = KEY, text: str = TEXT
+def term_totals(
+    df: DataFrame, params: TfidfParams = TfidfParams(), text: str = TEXT
 ) -> DataFrame:
-    """term, term_id (position in term order), tf (corpus count), df, idf. At most
-    ``max_features`` rows: the most frequent terms, the alphabetically first on ties.
-
-    Each text gives its terms and its distinct terms, both summed up by term with map-side
-    partial sums; no text and no per-document count is shuffled."""
-    n_docs = df.agg(F.count(F.lit(1))).scalar()
-    folded = analyzed_text(F.col(text), params.lowercase, params.strip_accents)
-    grams = (
-        df.select(folded.alias("_text"))
-        .select(tokens(F.col("_text")).alias("_tokens"))
-        .select(_grams("_tokens", *params.ngram_range).alias("_grams"))
+    """term, tf (corpus count) and df (documents). Each text gives its terms and its distinct
+    terms, both summed up by term with map-side partial sums; no text and no per-document count
+    is shuffled."""
+    grams = df.select(_tokens(params, text)).select(
+        _grams("_tokens", *params.ngram_range).alias("_grams")
     )
     both = F.array(
         F.struct(F.col("_grams").alias("terms"), F.lit(1).alias("tf"), F.lit(0).alias("df")),
         F.struct(F.array_distinct("_grams").alias("terms"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
     )
-    totals = (
+    return (
         grams.select(F.inline(both))
         .select(F.explode("terms").alias("term"), "tf", "df")
         .groupBy("term")
         .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     )
+
+
+def _tokens(params: TfidfParams, text: str) -> Column:
+    return tokens(analyzed_text(F.col(text), params.lowercase, params.strip_accents)).alias("_tokens")
+
+
+def vocabulary(
+    df: DataFrame, params: TfidfParams = TfidfParams(), text: str = TEXT
+) -> DataFrame:
+    """term, term_id (position in term order), tf (corpus count), df, idf. At most
+    ``max_features`` rows: the most frequent terms, the alphabetically first on ties."""
+    n_docs = df.agg(F.count(F.lit(1))).scalar()
+    totals = term_totals(df, params, text)
     kept = (
         totals.where(F.col("df") >= params.min_df)
         .where(F.col("df") <= F.lit(params.max_df) * n_docs)
@@ -122,30 +94,131 @@ def vocabulary(
     )
 
 
-def raw_weights(
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column in ``taken`` has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
+
+
+class Lookup:
+    """A vocabulary as a trie of its terms' tokens, one level per n-gram length; applied to
+    whole batches. ``columns`` are further numbers of the terms."""
+
+    def __init__(self, vocab: DataFrame, columns: list[str] | None = None):
+        # At most max_features rows, by the vocabulary's construction.
+        rows = vocab.select("term_id", "term", "idf", *(columns or [])).orderBy("term_id").collect()
+        self.term_id = np.array([r[0] for r in rows], np.int64)
+        self.idf = np.array([r[2] for r in rows], np.float64)
+        self.columns = [
+            np.array([r[3 + k] for r in rows], np.float64) for k in range(len(columns or []))
+        ]
+        split = [r[1].split(" ") for r in rows]
+        names = sorted({token for term in split for token in term})
+        self.tokens, number = pa.array(names, pa.string()), {t: k for k, t in enumerate(names)}
+        self.size = len(names)
+        # Per level: the sorted edges (node * tokens + token) and the term that ends there or -1.
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        nodes = {(): 0}
+        for n in range(1, max(map(len, split), default=1) + 1):
+            edges = {
+                nodes[tuple(term[: n - 1])] * self.size + number[term[n - 1]]: tuple(term[:n])
+                for term in split if len(term) >= n
+            }
+            order = sorted(edges)
+            nodes = {edges[e]: k for k, e in enumerate(order)}
+            ends = np.full(len(order), -1, np.int64)
+            for k, term in enumerate(split):
+                if len(term) == n:
+                    ends[nodes[tuple(term)]] = k
+            self.levels.append((np.array(order, np.int64), ends))
+
+    def weights(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, row of the vocabulary, sublinear tf times idf), sorted by both."""
+        many = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+        code = pc.fill_null(pc.index_in(lists.flatten(), value_set=self.tokens), -1).to_numpy()
+        code = code.astype(np.int64)
+        doc = np.repeat(np.arange(len(many)), many)
+        found, at, node = [], np.arange(len(code)), np.zeros(len(code), np.int64)
+        for n, (edges, ends) in enumerate(self.levels):
+            inside = at + n < len(code)
+            at, node = at[inside], node[inside]
+            known = (code[at + n] >= 0) & (doc[at + n] == doc[at])
+            at, node = at[known], node[known]
+            if not len(edges) or not len(at):
+                break
+            edge = node * self.size + code[at + n]
+            place = np.minimum(np.searchsorted(edges, edge), len(edges) - 1)
+            good = edges[place] == edge
+            at, node = at[good], place[good]
+            whole = ends[node] >= 0
+            found.append(doc[at[whole]] * len(self.idf) + ends[node[whole]])
+        pairs = np.concatenate(found) if found else np.zeros(0, np.int64)
+        pairs, tf = np.unique(pairs, return_counts=True)
+        doc, row = np.divmod(pairs, max(len(self.idf), 1))
+        return doc, row, (1.0 + np.log(tf)) * self.idf[row]
+
+
+def document_weights(
     df: DataFrame,
     vocab: DataFrame,
     params: TfidfParams = TfidfParams(),
-    key: str = KEY,
     text: str = TEXT,
     keep: list[str] | None = None,
-    per_term: list[str] | None = None,
 ) -> DataFrame:
-    """(key, kept columns, term_id, weight) before length normalisation. ``vocab`` has term,
-    term_id and idf; its ``per_term`` columns come along.
-
-    Terms outside the vocabulary are dropped by the broadcast join, before anything is
-    counted."""
-    carried, extra = [key, *(keep or [])], per_term or []
-    side = bounded(vocab.select("term", "term_id", "idf", *extra), params.max_features)
-    counted = (
-        terms(df, params, key, text, keep)
-        .join(side, "term")
-        .groupBy(*carried, "term_id")
-        .agg(F.count(F.lit(1)).alias("tf"), *[F.max(c).alias(c) for c in ["idf", *extra]])
-    )
-    weight = (1.0 + F.ln("tf")) * F.col("idf")
-    return counted.select(*carried, "term_id", weight.alias("weight"), *extra)
+    """A row per row of ``df``: kept columns, ``indices`` (term ids, rising) and ``values``:
+    sublinear tf times idf, scaled to length 1. Both are empty without a known term."""
+    lookup, keep = Lookup(vocab), keep or [KEY]
+    rows = df.select(*keep, _tokens(params, text).alias(free_name(keep, "tokens")))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, row, weight = lookup.weights(batch.column(len(keep)))
+            length = np.sqrt(np.bincount(doc, weight * weight, batch.num_rows))
+            ends = np.cumsum(np.bincount(doc, minlength=batch.num_rows))
+            offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+            columns = [
+                pa.ListArray.from_arrays(offsets, pa.array(lookup.term_id[row], pa.int32())),
+                pa.ListArray.from_arrays(offsets, pa.array(weight / length[doc], pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*keep, "indices", "values"])
+
+    kinds = [
+        *df.select(*keep).schema.fields,
+        T.StructField("indices", T.ArrayType(T.IntegerType())),
+        T.StructField("values", T.ArrayType(T.DoubleType())),
+    ]
+    return rows.mapInArrow(apply, T.StructType(kinds))
+
+
+def document_sums(
+    df: DataFrame,
+    vocab: DataFrame,
+    columns: list[str],
+    params: TfidfParams = TfidfParams(),
+    text: str = TEXT,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """A row per row of ``df``: kept columns and, for each of the vocabulary's ``columns``, the
+    sum of its values times the document's scaled weights; 0 without a known term. A sum is
+    named like its column, or ``free_name`` if a kept column has that name."""
+    lookup, keep = Lookup(vocab, columns), keep or [KEY]
+    names = [free_name(keep, c) for c in columns]
+    rows = df.select(*keep, _tokens(params, text).alias(free_name(keep, "tokens")))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, row, weight = lookup.weights(batch.column(len(keep)))
+            length = np.sqrt(np.bincount(doc, weight * weight, batch.num_rows))
+            length[length == 0] = 1.0
+            sums = [
+                pa.array(np.bincount(doc, weight * values[row], batch.num_rows) / length)
+                for values in lookup.columns
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *sums], [*keep, *names])
+
+    kinds = [*df.select(*keep).schema.fields, *[T.StructField(c, T.DoubleType()) for c in names]]
+    return rows.mapInArrow(apply, T.StructType(kinds))
 
 
 def tfidf_weights(
@@ -156,30 +229,29 @@ def tfidf_weights(
     text: str = TEXT,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """(key, kept columns, term_id, weight): sublinear tf times idf, each document scaled to
-    length 1. Documents without a known term have no rows. A document has at most
-    ``max_features`` rows, which bounds the window."""
-    raw = raw_weights(df, vocab, params, key, text, keep)
-    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(key)))
-    return raw.withColumn("weight", F.col("weight") / length)
-
-
-def feature_arrays(weights: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per document: kept columns, term ids in rising order, and their weights. A row
-    has at most ``max_features`` entries."""
-    entries = F.array_sort(F.collect_list(F.struct("term_id", "weight")))
-    return weights.groupBy(*keep).agg(entries.alias("_e")).select(
-        *keep,
-        F.col("_e.term_id").cast("array<int>").alias("indices"),
-        F.col("_e.weight").alias("values"),
+    """``document_weights`` as a long table: (key, kept columns, term_id, weight). Documents
+    without a known term have no rows."""
+    carried = [key, *(keep or [])]
+    arrays = document_weights(df, vocab, params, text, carried)
+    return arrays.select(*carried, F.inline(F.arrays_zip("indices", "values"))).select(
+        *carried, F.col("indices").cast("bigint").alias("term_id"), F.col("values").alias("weight")
     )
 
 
 def feature_vectors(arrays: DataFrame, n_features: int) -> DataFrame:
-    """The feature arrays with a sparse ``features`` vector, for estimators of Spark ML."""
+    """The feature arrays with a sparse ``features`` vector, for estimators of Spark ML. A
+    batch of vectors is made of the arrays as they are."""
+    names = [f.name for f in arrays.schema]
 
-    def sparse(indices, values):
-        return Vectors.sparse(n_features, indices, values)
+    def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind = pa.array(np.zeros(batch.num_rows, np.int8))
+            size = pa.array(np.full(batch.num_rows, n_features, np.int32))
+            vector = pa.StructArray.from_arrays(
+                [kind, size, batch.column("indices"), batch.column("values")],
+                ["type", "size", "indices", "values"],
+            )
+            yield pa.RecordBatch.from_arrays([*batch.columns, vector], [*names, "features"])
 
-    vector = F.udf(sparse, VectorUDT())
-    return arrays.withColumn("features", vector("indices", "values"))
+    kinds = [*arrays.schema.fields, T.StructField("features", VectorUDT())]
+    return arrays.mapInArrow(sparse, T.StructType(kinds))

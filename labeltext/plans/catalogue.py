@@ -28,7 +28,7 @@ from labeltext.operators.sampling import HOLDOUT, PHASE1, PHASE2
 from labeltext.plans import preparation, scoring, training
 from labeltext.plans.drift_report import drift_report
 from labeltext.schema import KEY, LABEL, MAX_FEATURES, SEED, SOURCE, TEXT
-from labeltext.session import bounded, checkpoint_dir, cut_lineage
+from labeltext.session import checkpoint_dir, cut_lineage
 from labeltext.sources.files import jsonl_view
 from labeltext.sources.tables import corpus, manifest, read_table
 from labeltext.streaming.jobs import drift_stream, read_messages, score_stream
@@ -504,12 +504,7 @@ def tokenize(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents").select(
         F.col("doc_id").alias(KEY), F.col("text").alias(TEXT)
     )
-    per_document = features.terms(documents, params).groupBy(KEY, "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
-    return per_document.groupBy("term").agg(
-        F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")
-    )
+    return features.term_totals(documents, params)
 
 
 @query
@@ -547,8 +542,7 @@ def complement_nb_weights(spark: SparkSession, folder: str) -> DataFrame:
     train = modelling(spark, folder).where(F.col("split") == "train")
     vocab = cut_lineage(features.vocabulary(train))
     by_class = complement_nb(features.tfidf_weights(train, vocab, keep=[LABEL]))
-    terms = bounded(vocab.select("term", "term_id"), MAX_FEATURES)
-    named = by_class.join(terms, "term_id")
+    named = by_class.join(vocab.select("term", "term_id"), "term_id")
     return rounded(named.select("term", "weight_0", "weight_1"), "weight_0", "weight_1")
 
 

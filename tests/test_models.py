@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from labeltext.operators import features
 from labeltext.operators.classifiers import (
@@ -247,3 +248,29 @@ def test_repeated_and_null_keys_are_scored_by_their_own_text(train, all_models):
         same = train.selectExpr(f"{key} as raw_index", "text_combined", "label")
         got = predictions(same, all_models, keep=["text_combined"]).where("model <> 'dummy'")
         assert {(r["text_combined"], r["model"]): r["score"] for r in got.collect()} == want
+
+
+def test_scoring_moves_no_row(spark, train):
+    models = fit_models(train, ["complement_nb", "linear_svc"], PARAMS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        arriving = train.union(train).select("raw_index", "text_combined").coalesce(1)
+        for scored in (
+            score_table(arriving, models, "raw_index"),
+            features.tfidf_weights(arriving, models.terms, PARAMS),
+        ):
+            plan = scored._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "Join" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_every_row_is_scored_alone(spark, train):
+    models = fit_models(train, ["complement_nb"], PARAMS)
+    rows = [(None, "prize money now"), (None, "team notes"), (4, "prize money now"), (4, None), (4, ""), (5, "zzz")]
+    table = spark.createDataFrame(rows, "raw_index long, text_combined string").withColumn("_tokens", F.lit("x"))
+    got = {(r[0], r[1]): r for r in score_table(table, models, "raw_index").select("raw_index", "text_combined", "score", "_tokens").collect()}
+    assert set(got) == set(rows) and all(r["_tokens"] == "x" for r in got.values())
+    assert got[None, "prize money now"]["score"] == got[4, "prize money now"]["score"] > 0.5
+    assert got[None, "team notes"]["score"] < 0.5
+    assert got[4, None]["score"] == got[4, ""]["score"] == got[5, "zzz"]["score"]
