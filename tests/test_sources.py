@@ -30,6 +30,52 @@ def test_row_index_follows_file_order(spark, tmp_path):
     assert len(out) == 8
 
 
+def test_rows_are_numbered_over_files_and_part_files(spark, tmp_path):
+    (tmp_path / "parts").mkdir()
+    sizes = {"z first.csv": 4, "parts/part-0.csv": 3, "parts/part-1.csv": 0, "parts/part-2.csv": 5, "a.csv": 2}
+    want = []
+    for pos, name in enumerate(sizes):
+        lines = [f'"{name}\nrow {k}",{k % 2}' for k in range(sizes[name])]
+        write(tmp_path / name, "text_combined,label\n" + "".join(f"{x}\n" for x in lines))
+        want += [(f"{name}\nrow {k}", {0: 0, 4: 2}.get(pos, 1)) for k in range(sizes[name])]
+    paths = [str(tmp_path / n) for n in ("z first.csv", "parts", "a.csv")]
+    rows = files.numbered_rows(spark, paths)
+    for _ in range(2):
+        got = rows.orderBy("row").collect()
+        assert [r.row for r in got] == list(range(14))
+        assert [(r.text_combined, r.path_pos) for r in got] == want
+        assert [r.path_row for r in got] == [*range(4), *range(8), *range(2)]
+    across = files.with_row_index(spark, paths, across=True).collect()
+    assert sorted(r.raw_index for r in across) == list(range(14))
+    with pytest.raises(ValueError, match="more than once"):
+        files.numbered_rows(spark, [paths[0], paths[0]])
+
+
+def _jobs(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    work()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_sources_with_other_headers_load_in_one_pass(spark, tmp_path):
+    heads = ["label", "subject,label,body", "body,label", "\ufefflabel,body"]
+    listed = []
+    for k in range(9):
+        head = heads[k % 4]
+        at = head.removeprefix("\ufeff").split(",").index("label")
+        lines = [",".join(str((i + k) % 2) if c == at else f'"b, {i}"' for c in range(len(head.split(",")))) for i in range(k + 1)]
+        listed.append((f"s{k}", write(tmp_path / f"s{k}.csv", "\n".join([head, *lines]) + "\n")))
+    got = {(r.source, r.source_pos, r.source_row_index): r.label for r in files.read_sources(spark, listed).collect()}
+    assert got == {(f"s{k}", k, i): (i + k) % 2 for k in range(9) for i in range(k + 1)}
+    few = _jobs(spark, "few", lambda: files.read_sources(spark, listed[:4]).count())
+    many = _jobs(spark, "many", lambda: files.read_sources(spark, listed[:8]).count())
+    assert few == many
+    (tmp_path / "bad.csv").write_text("body\nx\n")
+    with pytest.raises(ValueError, match="label"):
+        files.read_sources(spark, [*listed, ("bad", str(tmp_path / "bad.csv"))])
+
+
 def sources(spark, tmp_path, a, b):
     paths = [
         write(tmp_path / f"{n}.csv", "text_combined,label\n" + "".join(f"t,{v}\n" for v in labels))
