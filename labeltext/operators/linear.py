@@ -11,8 +11,8 @@ partition adds up loss and gradient, partial sums are merged in a tree.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -26,7 +26,8 @@ from labeltext.schema import LABEL
 LOSSES = ("log", "squared_hinge")
 # Steps the optimiser remembers; the squared hinge needs a third of the jobs it needs with 10.
 HISTORY = 50
-DIRECT_MERGE = 64
+# Gradients that are added up at a time.
+MERGE_WIDTH = 64
 # Columns of a block and the type of the numbers in each buffer.
 BLOCK = {
     "starts": np.int64, "ids": np.int32, "values": np.float64, "sign": np.float64,
@@ -93,12 +94,10 @@ def _add(a, b):
 
 
 def _merged(sums: RDD) -> tuple[float, np.ndarray]:
-    """Total of one pair per partition: directly if they are few, else in a tree, so that the
-    driver never receives more than ``DIRECT_MERGE`` gradients."""
-    partitions = sums.getNumPartitions()
-    if partitions <= DIRECT_MERGE:
-        return reduce(_add, sums.collect())
-    return sums.treeReduce(_add, depth=2 if partitions <= DIRECT_MERGE**2 else 3)
+    """Total of one pair per partition, added up in a tree of that width, so that neither a
+    task nor the driver receives many more than ``MERGE_WIDTH`` gradients."""
+    levels = math.ceil(math.log(max(sums.getNumPartitions(), 2), MERGE_WIDTH))
+    return sums.treeReduce(_add, depth=levels)
 
 
 def class_weights(df: DataFrame) -> dict[int, float]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from labeltext.operators.counts import distribution
 from labeltext.schema import KEY, LABEL, SOURCE
-from labeltext.session import small
+from labeltext.session import stored
 
 
 def number_blocks(sources: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def number_blocks(sources: DataFrame) -> DataFrame:
         SOURCE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
     )
     return (
-        sources.join(small(starts), SOURCE)
+        sources.join(stored(starts), SOURCE)
         .withColumn(KEY, F.col("_start") + F.col("source_row_index"))
         .drop("_start")
     )

@@ -12,14 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labeltext.session import BROADCAST_ROWS, cut_lineage
+from labeltext.session import cut_lineage, stored
 
 # Hash buckets: 16 ** HASH_CHARS per group, about a million rows each at 6e10 rows.
 HASH_CHARS = 4
-# Key buckets: unique integer keys, so at most this many rows each.
-KEY_SPAN = 1 << 20
-# Value buckets for running sums.
-VALUE_BUCKETS = 256
+# Rows of a range of running sums.
+RANGE_ROWS = 1_000_000
 
 
 def seeded_hash(key: Column, seed: int) -> Column:
@@ -36,15 +34,6 @@ def _before(window_by: list[str], order: Column, value: str) -> Column:
     return F.coalesce(F.sum(value).over(window), F.lit(0))
 
 
-def _held(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` evaluated once, so that every use sees the same rows: a table of at most
-    ``limit`` rows is broadcast, a larger one is written to the checkpoint folder."""
-    rows = df.take(limit + 1)
-    if len(rows) > limit:
-        return cut_lineage(df)
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def bucketed_rank(
     df: DataFrame, groups: list[str], order: list[str], bucket: Column, name: str = "rank"
 ) -> DataFrame:
@@ -75,9 +64,10 @@ def seeded_rank(
 
 
 def key_rank(df: DataFrame, groups: list[str], key: str, name: str = "rank") -> DataFrame:
-    """Row number by a unique integer key inside each group; a group may hold any share of
-    the rows."""
-    return bucketed_rank(df, groups, [key], F.floor(F.col(key) / KEY_SPAN), name)
+    """Row number by a unique key inside each group, however far apart the keys lie; a group
+    may hold any share of the rows."""
+    sums = running_sums(df.withColumn("_one", F.lit(1).cast("bigint")), groups, key, ["_one"])
+    return sums.drop("_one").withColumnRenamed("cum__one", name)
 
 
 def rank_slices(
@@ -128,7 +118,7 @@ def rank_slices(
     )
     order = Window.partitionBy(*by, "_no").orderBy("_hash", "_key")
     cuts = (
-        keyed.join(_held(edges), by)
+        keyed.join(stored(edges), by)
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") == F.col("_at"))
         .groupBy(*groups)
@@ -149,49 +139,53 @@ def rank_slices(
         chosen = chosen.otherwise(slices[-1])
     return (
         df.withColumn("_here", here)
-        .join(_held(cuts), groups, "left")
+        .join(stored(cuts), groups, "left")
         .withColumn(name, chosen)
         .drop("_here", *[f"_cut{i}" for i in range(len(names))])
         .where(F.col(name).isNotNull())
     )
 
 
+def ranges(
+    df: DataFrame, groups: list[str], order: Column, range_rows: int = RANGE_ROWS
+) -> DataFrame:
+    """``df``, evaluated once and stored in ranges of (groups, order) of about ``range_rows``
+    rows, with the range's number as ``_range``. There are more ranges if there are more rows;
+    sampled bounds only balance them."""
+    held = cut_lineage(df)
+    wide = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = max(wide, -(-held.count() // range_rows))
+    dealt = held.repartitionByRange(many, *groups, order)
+    return stored(dealt.withColumn("_range", F.spark_partition_id()))
+
+
 def running_sums(
     df: DataFrame,
     groups: list[str],
     order: str,
     values: list[str],
     descending: bool = False,
-    buckets: int = VALUE_BUCKETS,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add ``cum_<value>``: the sum of each value up to and including the row, per group in
-    the order of the numeric column ``order``, whose values are distinct per group.
+    the order of the column ``order``, whose values are distinct per group.
 
-    Bucket edges are approximate quantiles of ``order``. They only balance the buckets, any
-    edges give the same sums; they are held as values, so that both uses agree."""
+    Rows are stored in ranges, a small table of totals per group and range is summed up, and
+    the window runs inside (group, range). The table of totals has at most a row per range and
+    one per group."""
     if not groups:
         whole = df.withColumn("_all", F.lit(0))
-        return running_sums(whole, ["_all"], order, values, descending, buckets).drop("_all")
-    shares = [(i + 1) / buckets for i in range(buckets - 1)]
-    # Held, because approximate quantiles may differ from one evaluation to the next.
-    quantiles = F.percentile_approx(F.col(order).cast("double"), shares, 10_000)
-    edges = df.groupBy(*groups).agg(F.array_distinct(quantiles).alias("_edges"))
-    bucket = F.size(F.filter("_edges", lambda e: e < F.col(order)))
-    keyed = (
-        df.join(_held(edges, BROADCAST_ROWS // buckets), groups)
-        .withColumn("_bucket", bucket)
-        .drop("_edges")
-    )
-
-    by = [*groups, "_bucket"]
+        return running_sums(whole, ["_all"], order, values, descending, range_rows).drop("_all")
+    direction = F.col(order).desc() if descending else F.col(order).asc()
+    keyed = ranges(df, groups, direction, range_rows)
+    by = [*groups, "_range"]
     totals = keyed.groupBy(*by).agg(*[F.sum(v).alias(v) for v in values])
-    direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     offsets = totals.select(
-        *by, *[_before(groups, direction("_bucket"), v).alias(f"_before_{v}") for v in values]
+        *by, *[_before(groups, F.col("_range"), v).alias(f"_before_{v}") for v in values]
     )
     inside = (
         Window.partitionBy(*by)
-        .orderBy(direction(order))
+        .orderBy(direction)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (

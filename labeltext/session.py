@@ -1,16 +1,11 @@
-"""Session helpers: the shared checkpoint folder and size-checked broadcasts."""
+"""Session helpers: the shared checkpoint folder and tables kept there."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows a table may have to be sent to every executor. Rows here are a few short columns, so
-# this stays far below the broadcast limits.
-BROADCAST_ROWS = 200_000
-
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``. Only a local session may go
@@ -36,16 +31,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a table proven to have at most ``limit`` rows; beyond that the
-    table is returned without a hint and Spark picks a shuffled join.
-
-    The check is one job that stops after ``limit`` + 1 rows."""
-    rows = df.limit(limit + 1).count()
-    return F.broadcast(df) if rows <= limit else df
-
-
-def bounded(df: DataFrame, most_rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a table whose construction proves that it has at most
-    ``most_rows`` rows, if that is few enough."""
-    return F.broadcast(df) if most_rows <= limit else df
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder as Parquet and go on from the files.
+    Every use sees the same rows, and Spark knows the table's size when it plans a join: it
+    broadcasts what is below its own threshold and shuffles what isn't."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -75,7 +75,7 @@ def test_running_sums_equal_brute_force(spark, descending):
     rows = [(g, float(x), rng.randint(0, 5)) for g in "ab"
             for x in rng.sample(range(-500, 500), 300)]
     df = spark.createDataFrame(rows, "g string, x double, n bigint").repartition(6)
-    out = ranking.running_sums(df, ["g"], "x", ["n"], descending, buckets=16).collect()
+    out = ranking.running_sums(df, ["g"], "x", ["n"], descending, range_rows=16).collect()
     assert len(out) == len(rows)
     for r in out:
         inside = [n for g, x, n in rows
@@ -102,14 +102,30 @@ def test_bad_parameters(spark, keyed):
         sampling.train_val_test_split(keyed, 0.7, 0.2, 0.2)
 
 
-def test_tables_too_large_to_hold_are_written(spark, monkeypatch):
-    """The fallback beyond the row limit gives the same sums and slices."""
+def test_small_ranges_and_shuffled_joins_agree(spark):
+    """Results don't depend on how many ranges there are or on how Spark joins."""
     rows = [(g, float(x), 1) for g in range(6) for x in range(20)]
     df = spark.createDataFrame(rows, "g int, x double, n bigint")
-    monkeypatch.setattr(ranking._held, "__defaults__", (1,))
-    monkeypatch.setattr(ranking, "BROADCAST_ROWS", 4)
-    out = ranking.running_sums(df, ["g"], "x", ["n"], buckets=4).collect()
-    assert all(r["cum_n"] == r["x"] + 1 for r in out) and len(out) == 120
-    keyed = df.select(F.col("g").alias("label"), (F.col("g") * 100 + F.col("x")).cast("bigint").alias("raw_index"))
-    kept = sampling.stratified_sample(keyed, 0.5)
-    assert {r["count"] for r in kept.groupBy("label").count().collect()} == {10}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = ranking.running_sums(df, ["g"], "x", ["n"], range_rows=4).collect()
+        assert all(r["cum_n"] == r["x"] + 1 for r in out) and len(out) == 120
+        keyed = df.select(F.col("g").alias("label"), (F.col("g") * 100 + F.col("x")).cast("bigint").alias("raw_index"))
+        kept = sampling.stratified_sample(keyed, 0.5)
+        assert {r["count"] for r in kept.groupBy("label").count().collect()} == {10}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ranks_of_sparse_keys(spark):
+    rng = random.Random(4)
+    keys = sorted({rng.randrange(-(2**63), 2**63) for _ in range(900)})
+    table = spark.createDataFrame([(k, k % 10 == 0) for k in rng.sample(keys, 900)], "key bigint, few boolean")
+    got = {(r["few"], r["key"]): r["rank"] for r in ranking.key_rank(table, ["few"], "key").collect()}
+    want = {}
+    for few in (True, False):
+        want |= {(few, k): n for n, k in enumerate((k for k in keys if (k % 10 == 0) == few), start=1)}
+    assert got == want
+    held = ranking.ranges(table, ["few"], F.col("key").asc(), range_rows=100)
+    sizes = [r["count"] for r in held.groupBy("_range").count().collect()]
+    assert sum(sizes) == 900 and max(sizes) < 400 and len(sizes) >= 7
