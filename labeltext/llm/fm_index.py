@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labeltext.llm.shared import releasing
 from labeltext.llm.words import NOT_ALNUM, Words, batch_words, cut_words, text_bytes
 
 WIDTH = 10
@@ -254,7 +255,7 @@ def _pass(docs: DataFrame, phrases: Phrases) -> DataFrame:
                 ["doc_id", "text", "spans", "items"],
             )
 
-    return docs.mapInArrow(scan, STATE)
+    return docs.mapInArrow(releasing(scan), STATE)
 
 
 def _merged(spans: list[list[int]]) -> list[list[int]]:
@@ -320,7 +321,7 @@ def contamination(
             )
 
     return state.mapInArrow(
-        digest,
+        releasing(digest),
         "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
         "contaminated boolean, items array<string>, spans array<array<int>>",
     )
@@ -343,4 +344,4 @@ def _without(docs: DataFrame, phrases: Phrases) -> DataFrame:
                 keep[row] = False
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return docs.mapInArrow(releasing(clean), docs.schema)

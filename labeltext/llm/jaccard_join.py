@@ -38,6 +38,7 @@ from labeltext.llm.shared import (
     components,
     count_cells,
     discard,
+    releasing,
     shuffle_partitions,
     squeeze,
     stored,
@@ -184,7 +185,7 @@ def _records(docs: DataFrame, counts: np.ndarray, bits: int, shingle: int, perce
                 done += hi - lo
 
     return docs.select("doc_id", "text").mapInArrow(
-        cut,
+        releasing(cut),
         "rid long, doc_id long, n long, key binary, cells binary, grp long, prefix binary",
     )
 
@@ -290,9 +291,9 @@ def _candidates(records: DataFrame, percent: int) -> DataFrame:
         large = many > SMALL_BUCKET
         yield 1, code[large].astype(np.int64), rid[large], place[large]
 
-    packed = held.mapInArrow(deal, "bin int, code binary, rid binary, n binary, place binary")
+    packed = held.mapInArrow(releasing(deal), "bin int, code binary, rid binary, n binary, place binary")
     return packed.repartitionById(bins, "bin").mapInArrow(
-        pair, "kind int, x long, y long, place long"
+        releasing(pair), "kind int, x long, y long, place long"
     )
 
 
@@ -309,7 +310,7 @@ def _overlapping(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
     left = classes.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("cells").alias("left"))
     right = classes.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("cells").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "left", "right")
-    return both.mapInArrow(keep, "a long, b long")
+    return both.mapInArrow(releasing(keep), "a long, b long")
 
 
 def _across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -363,7 +364,7 @@ def _across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from compare(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(pairs, "a long, b long").distinct()
+    return dealt.mapInArrow(releasing(pairs), "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, percent: int):
@@ -404,7 +405,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: in
                         ["key", "codes"],
                     )
 
-    held = docs.select("text").mapInArrow(sets, "key binary, codes binary")
+    held = docs.select("text").mapInArrow(releasing(sets), "key binary, codes binary")
     held = held.dropDuplicates(["key"]).join(used, "key").select("cls", "codes")
     held = stored(held)
 
@@ -421,7 +422,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: in
 
     both = pairs.join(held.select(F.col("cls").alias("a"), F.col("codes").alias("left")), "a")
     both = both.join(held.select(F.col("cls").alias("b"), F.col("codes").alias("right")), "b")
-    return both.select("a", "b", "left", "right").mapInArrow(similar, "a long, b long")
+    return both.select("a", "b", "left", "right").mapInArrow(releasing(similar), "a long, b long")
 
 
 def _labelled(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -557,26 +558,26 @@ def drop_near_duplicates(
         count_cells(verdict.select("_id"), 1 << bits, lambda batch: iter([cells(batch.column("_id"))])) > 0
     )
 
-    def part(wanted: bool):
-        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            test = np.unpackbits(table).astype(bool)
-            for batch in batches:
-                yield batch.filter(pa.array(test[cells(batch.column("doc_id"))] == wanted))
-
-        return docs.mapInArrow(choose, docs.schema)
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = np.unpackbits(table).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(~test[cells(batch.column("doc_id"))]))
 
+    # Rows that may go, with their sets' keys.
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = np.unpackbits(table).astype(bool)
         for batch in batches:
+            batch = batch.filter(pa.array(test[cells(batch.column("doc_id"))]))
             for lo, hi, words in batch_words(batch.column("text"), WHITE, lower=True):
                 row, code = row_shingles(words, shingle)
                 size, key = _set_keys(row, code, hi - lo)
-                keys = pa.array([k if n else None for k, n in zip(_binaries(key, 16).to_pylist(), size, strict=True)], pa.binary())
+                keys = [k if n else None for k, n in zip(_binaries(key, 16).to_pylist(), size, strict=True)]
                 rows = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*rows.columns, keys], [*names, "_set"])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(keys, pa.binary())], [*names, "_set"])
 
     names = docs.columns
     kinds = StructType([*docs.schema.fields, StructField("_set", BinaryType())])
-    asked = part(True).mapInArrow(keyed, kinds)
+    asked = docs.mapInArrow(releasing(keyed), kinds)
     plain = [f.name for f in docs.schema if not isinstance(f.dataType, MapType)]
     order = F.struct(F.col("text").isNull(), F.md5("text"), F.xxhash64(*plain))
     once = asked.where("_set is not null").groupBy(F.col("doc_id").alias("_own"), "_set").agg(
@@ -586,4 +587,5 @@ def drop_near_duplicates(
         verdict.withColumnRenamed("_set", "_key"),
         F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_set") == F.col("_key")), "left",
     ).where("_stays or _stays is null").select("_row.*")
-    return part(False).union(asked.where("_set is null").select(names)).union(once)
+    kept = docs.mapInArrow(releasing(others), docs.schema)
+    return kept.union(asked.where("_set is null").select(names)).union(once)

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labeltext.llm.shared import releasing
 from labeltext.llm.words import mix
 
 SAMPLE_DOCS, SAMPLE_WORDS = 250, 240
@@ -311,7 +312,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        predict, "doc_id long, lang_pred string, score double"
+        releasing(predict), "doc_id long, lang_pred string, score double"
     )
 
 
@@ -323,7 +324,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
             found = label_texts(batch.column("text"), model)
             yield batch.filter(pa.array([l != UNKNOWN and s >= least for l, s in found], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(releasing(keep), docs.schema)
 
 
 def language_id(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import DataFrame
 
+from labeltext.llm.shared import releasing
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # How the vocabulary's tokenizer cuts text before merging (fixed value).
 PIECES = (
@@ -217,7 +219,7 @@ def find_secrets(
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        scan,
+        releasing(scan),
         "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
         "spans string, n_random long",
     )
@@ -259,4 +261,4 @@ def redact_secrets(
                 columns[size_at] = pa.array([str(n) if pa.types.is_string(kind) and n is not None else n for n in sizes], kind)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(clean, docs.schema)
+    return docs.mapInArrow(releasing(clean), docs.schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -38,6 +39,22 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def releasing(work: Callable) -> Callable:
+    """``work`` on Arrow batches, after which its process gives memory back to the system.
+    Spark keeps Python processes for later tasks; what they hold counts against the executor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def count_cells(
     df: DataFrame, cells: int, cells_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]]
 ) -> np.ndarray:
@@ -69,7 +86,7 @@ def count_cells(
         return pa.table({"slab": group["slab"][:1], "counts": pa.array([total.tobytes()])})
 
     kind = "slab int, counts binary"
-    sums = df.mapInArrow(count, kind).groupBy("slab").applyInArrow(add, kind).collect()
+    sums = df.mapInArrow(releasing(count), kind).groupBy("slab").applyInArrow(add, kind).collect()
     out = np.zeros((SLABS, width), np.int64)
     for slab, counts in sums:
         out[slab] = np.frombuffer(counts, np.int64)
