@@ -407,6 +407,58 @@ def test_main_text(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in rows)
 
 
+SENTENCE = "A sentence of some length, which says in many plain words what the page is about. "
+
+
+def test_main_text_loses_no_block_of_the_article():
+    read = main_text.main_text
+    long = SENTENCE * 3
+    article = [
+        "<h1>Head</h1>", "<p>by line</p>", f"<p>{long}</p>",
+        "<table><tr><td>a</td></tr><tr><td>b</td></tr></table>",
+        f"<div class='ad'>buy {long}</div>", "<p>After it.</p>",
+        "<section><h2>Two</h2><p>Short.</p></section>", "<p>See <a href=x>this one</a></p>", "<p>End.</p>",
+    ]
+    want = ["Head", "by line", long.strip(), "a", "b", "After it.", "Two", "Short.", "See this one", "End."]
+    menu = "".join(f"<li><a href=x>place {k}</a></li>" for k in range(6))
+    comments = f"<div class='comments'><p>{long * 20}</p></div>"
+    for before, after in [
+        ("", ""), ("<article>", "</article>"), ("<main>", "</main>"),
+        ("<div class='search-page social'>", "</div>"), ("<div id='header'><article>", "</article></div>"),
+        ("<div class='has-comments'>", "</div>"),
+    ]:
+        page = f"<body><ul>{menu}</ul>{before}{''.join(article)}{after}{comments}<ul>{menu}</ul></body>"
+        assert read(page).split("\n\n") == want, before
+    # A long wrapper without a heading or a mark stays if its name is doubtful only.
+    assert read(f"<div class='social'><p>{long}</p></div><p>x</p>").startswith("A sentence")
+    assert read(f"<div class='comments'><p>{long}</p></div><p>x</p>") == "x"
+
+
+def test_main_text_surges_against_brute_force():
+    py = random.Random(3)
+    for _ in range(300):
+        lengths = [py.choice([0, 0, 0, 1, 9, 50, 120]) for _ in range(py.randrange(30))]
+        sums = [sum(lengths[k : k + main_text.WINDOW]) for k in range(len(lengths))]
+        assert main_text.block_sums(lengths) == sums
+        level = max(1, min(main_text.SURGE, max(sums, default=0)))
+        want, k = [], 0
+        while (start := next((j for j in range(k, len(sums)) if sums[j] >= level), None)) is not None:
+            last = max([j + 1 for j in range(start) if not sums[j]], default=0)
+            k = next((j for j in range(start, len(sums)) if not sums[j]), len(sums))
+            want.append((last, start, k))
+        assert main_text.regions(lengths) == want
+
+
+def test_main_text_repeated_rows_and_other_columns(spark):
+    schema = "page_id long, url string, html string, text long, n_chars string"
+    rows = [(1, "u", "<p>x", 5, "a")] * 2 + [(None, None, "<p>y", None, None)]
+    got = main_text.extract(spark.createDataFrame(rows, schema))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, "u", "x", 1)] * 2 + [(None, None, "y", 1)], key=str
+    )
+    assert main_text.extract(spark.createDataFrame([], schema)).count() == 0
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
