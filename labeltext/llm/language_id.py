@@ -137,8 +137,17 @@ def _normal(x: np.ndarray) -> np.ndarray:
 
 def marginals(scores: np.ndarray, move: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Label probabilities of the words of several sequences; ``first`` says where each
-    begins, and the end. Exact forward-backward over blocks: the blocks' transfer matrices
-    are multiplied up for all blocks at once, then carried along each sequence."""
+    begins, and the end."""
+    return forward_backward(scores, move, first)[0]
+
+
+def forward_backward(
+    scores: np.ndarray, move: np.ndarray, first: np.ndarray, moves: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """Label probabilities of the words of several sequences and, if ``moves``, how often each
+    label is expected to follow each other one: for every two neighbours forward times move
+    times emission times backward, made a probability. Exact over blocks: the blocks' transfer
+    matrices are multiplied up for all blocks at once, then carried along each sequence."""
     size = np.diff(first)
     labels = scores.shape[1]
     blocks = -(-size // BLOCK)
@@ -169,6 +178,8 @@ def marginals(scores: np.ndarray, move: np.ndarray, first: np.ndarray) -> np.nda
         at = (begin + blocks - 1 - k)[blocks > k]
         leave[at] = _normal(np.einsum("bij,bj->bi", whole[at + 1], leave[at + 1]))
     ahead = np.empty((total, BLOCK, labels))
+    prior = enter.copy()
+    expected = np.zeros((labels, labels))
     for k in range(BLOCK):
         by = np.where(((number == 0) & (k == 0))[:, None], enter, enter @ step) * emit[:, k]
         enter = np.where(real[:, k, None], _normal(by), enter)
@@ -177,9 +188,15 @@ def marginals(scores: np.ndarray, move: np.ndarray, first: np.ndarray) -> np.nda
     for k in range(BLOCK - 1, -1, -1):
         use = real[:, k]
         out[places[use, k]] = _normal(ahead[use, k] * leave[use])
+        if moves:
+            # Words with one before them; that of a block's first word stands in the block before.
+            here = use if k else use & (number > 0)
+            left = (ahead[:, k - 1] if k else prior)[here]
+            both = left[:, :, None] * step * (emit[here, k] * leave[here])[:, None, :]
+            expected += (both / np.maximum(both.sum(axis=(1, 2), keepdims=True), 1e-300)).sum(axis=0)
         back = _normal((emit[:, k] * leave) @ step.T)
         leave = np.where(use[:, None], back, leave)
-    return out
+    return out, expected
 
 
 def fit(texts: list[str], labels: list[str]) -> Model:
@@ -213,13 +230,14 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     starts = np.zeros(len(words), bool)
     starts[first[:-1]] = True
     pair = np.flatnonzero(~starts)
+    seen_moves = np.einsum("bi,bj->ij", goal[pair - 1], goal[pair])
     many = np.maximum(np.bincount(found.word, minlength=len(words)), 1)
     scale = 1 / np.sqrt(many)
     seen = np.bincount(found.entry, minlength=1 << LEXICON_BITS) > 1
     sums = [np.full(x.shape, 1e-8) for x in (model.weight, model.lexicon, model.move)]
     for _ in range(EPOCHS):
         scores = model._scores(found)
-        chance = marginals(scores, model.move, first)
+        chance, expected = forward_backward(scores, model.move, first, moves=True)
         miss = goal - chance
         grad = [np.empty_like(model.weight), np.empty_like(model.lexicon), None]
         for k in range(len(languages)):
@@ -228,10 +246,7 @@ def fit(texts: list[str], labels: list[str]) -> Model:
             )
             grad[1][:, k] = np.bincount(found.entry, miss[:, k], minlength=1 << LEXICON_BITS)
         grad[1][~seen] = 0
-        # Expected moves, from the marginals of neighbours joined by the current moves.
-        joint = chance[pair - 1][:, :, None] * np.exp(model.move) * chance[pair][:, None, :]
-        joint /= np.maximum(joint.sum(axis=(1, 2), keepdims=True), 1e-300)
-        grad[2] = np.einsum("bi,bj->ij", goal[pair - 1], goal[pair]) - joint.sum(axis=0)
+        grad[2] = seen_moves - expected
         for value, g, s in zip((model.weight, model.lexicon, model.move), grad, sums, strict=True):
             g -= PENALTY * len(words) * value
             s += g * g

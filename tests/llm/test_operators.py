@@ -520,6 +520,55 @@ def test_language_model_is_exact_and_learns(spark, empty):
                 want[a + k, y] += weight
     assert np.allclose(got, want / want.sum(axis=1, keepdims=True))
 
+    def moves(weights):
+        """Expected moves and the log of the summed weights, over all paths."""
+        count, total = np.zeros((2, 2)), 0.0
+        for a, b in ((0, 5), (5, 7)):
+            paths = list(itertools.product(range(2), repeat=b - a))
+            each = np.array([
+                sum(weights[x, y] for x, y in itertools.pairwise(path))
+                + sum(scores[a + k, y] for k, y in enumerate(path)) for path in paths
+            ])
+            total += np.log(np.exp(each).sum())
+            for path, share in zip(paths, np.exp(each) / np.exp(each).sum(), strict=True):
+                for x, y in itertools.pairwise(path):
+                    count[x, y] += share
+        return count, total
+
+    for block in (1, 2, 3, 64):
+        old, language_id.BLOCK = language_id.BLOCK, block
+        expected = language_id.forward_backward(scores, move, np.array([0, 5, 7]), moves=True)[1]
+        language_id.BLOCK = old
+        assert np.allclose(expected, moves(move)[0])
+    # The expected moves are the slopes of the log partition sum.
+    for x, y in itertools.product(range(2), repeat=2):
+        step = np.zeros((2, 2))
+        step[x, y] = 1e-6
+        slope = (moves(move + step)[1] - moves(move - step)[1]) / 2e-6
+        assert np.isclose(slope, expected[x, y], atol=1e-6)
+
+    # Words of two languages in one text are told apart by their own marginals.
+    py = random.Random(8)
+    made = {"en": ["th", "ing", "and", "whe"], "de": ["sch", "ung", "keit", "zw"]}
+
+    def words(lang, n):
+        return ["".join(py.choices(made[lang], k=3)) for _ in range(n)]
+
+    known = [("en", "de")[k % 2] for k in range(200)]
+    model = language_id.fit([" ".join(words(lang, 20)) for lang in known], known)
+    right = total = 0
+    for _ in range(50):
+        truth, mixed = [], []
+        for lang in py.sample(["en", "de", "en", "de"], 4):
+            n = py.randrange(4, 12)
+            truth += [lang] * n
+            mixed += words(lang, n)
+        emit = model.emissions(language_id.letters(" ".join(mixed)))
+        chance = language_id.marginals(emit, model.move, np.array([0, len(mixed)]))
+        right += sum(model.languages[k] == t for k, t in zip(chance.argmax(axis=1), truth, strict=True))
+        total += len(mixed)
+    assert right >= 0.95 * total
+
     stems = {"en": ["th", "ing", "and"], "fr": ["eau", "ou", "é"], "de": ["sch", "ü", "ung"]}
     py = random.Random(4)
     rows = []
