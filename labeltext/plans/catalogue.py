@@ -35,7 +35,7 @@ from labeltext.schema import KEY, LABEL, MAX_FEATURES, SEED, SOURCE, TEXT
 from labeltext.session import checkpoint_dir, cut_lineage
 from labeltext.sources.files import jsonl_view
 from labeltext.sources.tables import corpus, manifest, read_table
-from labeltext.streaming.jobs import drift_stream, read_messages, score_stream
+from labeltext.streaming.jobs import answered, drift_stream, read_messages, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -650,19 +650,48 @@ def _fresh(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{stamp}"
 
 
+TURNS = T.StructType(
+    [
+        T.StructField("conv_id", T.LongType()),
+        T.StructField("turn", T.LongType()),
+        T.StructField("role", T.StringType()),
+        T.StructField("text", T.StringType()),
+    ]
+)
+
+
+@query
+def stream_both_sinks(spark: SparkSession, folder: str) -> DataFrame:
+    """The conversations as a stream, some turns spoilt by rule so that each reason to reject
+    occurs: both sinks read back with the latency log, a row per message."""
+    spoilt = F.expr(
+        "CASE conv_id % 12 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN repeat(' ', 4) "
+        "WHEN 3 THEN substring(text, 1, 2) WHEN 4 THEN rpad(text, 50001, 'x') ELSE text END"
+    )
+    stream = read_messages(spark, f"{folder}/conversations*.parquet", TURNS).select(
+        F.concat_ws("-", "conv_id", "turn").alias("message_id"), spoilt.alias("text")
+    )
+    out = _fresh(spark, "stream")
+    sinks = [f"{out}/accepted", f"{out}/rejected"]
+    score_stream(
+        stream, bayes(spark, folder), "message_id", *sinks, f"{out}/offsets", available_now=True,
+        log_path=f"{out}/log",
+    ).awaitTermination()
+    rows = answered(spark, *sinks, f"{out}/log", "message_id")
+    return rounded(
+        rows.select(
+            "message_id", "reject_reason", "prediction", "score", "normalized_text_length",
+            (F.col("latency_ms") > 0).alias("timed"),
+        ),
+        "score",
+    )
+
+
 @query
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
-    """The conversations as a stream: accepted answers and rejections read back."""
+    """The conversations as a stream: the accepted answers, read back."""
     models = bayes(spark, folder)
-    schema = T.StructType(
-        [
-            T.StructField("conv_id", T.LongType()),
-            T.StructField("turn", T.LongType()),
-            T.StructField("role", T.StringType()),
-            T.StructField("text", T.StringType()),
-        ]
-    )
-    stream = read_messages(spark, f"{folder}/conversations*.parquet", schema).select(
+    stream = read_messages(spark, f"{folder}/conversations*.parquet", TURNS).select(
         F.concat_ws("-", "conv_id", "turn").alias("message_id"), "text"
     )
     out = _fresh(spark, "stream")

@@ -300,6 +300,17 @@ CTE["accepted"] = (
     ["turns"],
 )
 scored("accepted_scores", "accepted", "message_id", "text_combined", ["accepted"])
+CTE["spoilt"] = (
+    "SELECT conv_id || '-' || turn AS message_id, CASE conv_id % 12 WHEN 0 THEN NULL WHEN 1 THEN '' "
+    "WHEN 2 THEN repeat(' ', 4) WHEN 3 THEN substring(text, 1, 2) WHEN 4 THEN "
+    "rpad(text, 50001, 'x') ELSE text END AS text FROM conversations",
+    [],
+)
+CTE["spoilt_screened"] = (screened("spoilt"), ["spoilt"])
+CTE["spoilt_accepted"] = (
+    "SELECT * FROM spoilt_screened WHERE reject_reason IS NULL", ["spoilt_screened"]
+)
+scored("spoilt_scores", "spoilt_accepted", "message_id", "text_combined", ["spoilt_accepted"])
 CTE["holdout_predictions"] = (
     "SELECT 'complement_nb' AS model, label, CAST(margin > 0 AS BIGINT) AS prediction, "
     "1 / (1 + exp(-margin)) AS score FROM holdout JOIN holdout_scores USING (raw_index) UNION ALL "
@@ -741,6 +752,13 @@ SQL: dict[str, tuple[list[str], str]] = {
     ),
     "scored_response": (["accepted", "accepted_scores"], RESPONSE),
     "stream_score": (["accepted", "accepted_scores"], RESPONSE),
+    "stream_both_sinks": (
+        ["spoilt_screened", "spoilt_scores"],
+        "SELECT message_id, reject_reason, CAST(margin > 0 AS BIGINT) AS prediction, "
+        "round(1 / (1 + exp(-margin)), 9) AS score, CASE WHEN reject_reason IS NULL THEN "
+        "length(text_combined) END AS normalized_text_length, true AS timed "
+        "FROM spoilt_screened LEFT JOIN spoilt_scores USING (message_id)",
+    ),
     "stream_drift": (REPORT_NEEDS, _report_lines()),
     "batch_scores": (
         ["docs", "doc_scores"],

@@ -2,7 +2,7 @@ from pyspark.sql import types as T
 
 from labeltext.operators.classifiers import fit_models
 from labeltext.operators.features import TfidfParams
-from labeltext.streaming.jobs import drift_stream, read_messages, score_stream
+from labeltext.streaming.jobs import answered, drift_stream, read_messages, score_stream
 
 SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("text", T.StringType())])
 
@@ -14,11 +14,14 @@ def test_score_stream_splits_sinks_and_resumes(spark, tmp_path):
     models = fit_models(train, ["linear_svc"], TfidfParams(min_df=1, max_df=1.0))
     incoming = str(tmp_path / "in")
     paths = [str(tmp_path / n) for n in ("ok", "bad", "offsets")]
+    log = str(tmp_path / "log")
 
     def send(messages):
         spark.createDataFrame(messages, SCHEMA).coalesce(1).write.mode("append").parquet(incoming)
         stream = read_messages(spark, incoming, SCHEMA, files_per_batch=1)
-        score_stream(stream, models, "id", *paths, available_now=True).awaitTermination()
+        score_stream(
+            stream, models, "id", *paths, available_now=True, log_path=log
+        ).awaitTermination()
 
     send([("a", "  Click for MONEY "), ("b", "  ")])
     send([("c", "notes of the meeting")])
@@ -27,6 +30,12 @@ def test_score_stream_splits_sinks_and_resumes(spark, tmp_path):
     assert accepted.select("batch_id").distinct().count() == 2
     rejected = spark.read.parquet(paths[1]).collect()
     assert [(r["id"], r["reject_reason"]) for r in rejected] == [("b", "blank")]
+    counts = {r["batch_id"]: (r["accepted"], r["rejected"]) for r in spark.read.parquet(log).collect()}
+    assert counts == {0: (1, 1), 1: (1, 0)}
+    every = {r["id"]: r for r in answered(spark, *paths[:2], log, "id").collect()}
+    assert {k: r["reject_reason"] for k, r in every.items()} == {"a": None, "b": "blank", "c": None}
+    assert all(r["latency_ms"] > 0 for r in every.values())
+    assert every["a"]["latency_ms"] == every["b"]["latency_ms"] and every["b"]["prediction"] is None
 
 
 def test_drift_stream_reports_each_increment(spark, tmp_path):
