@@ -34,6 +34,7 @@ from labeltext.plans.drift_report import drift_report
 from labeltext.schema import KEY, LABEL, MAX_FEATURES, SEED, SOURCE, TEXT
 from labeltext.session import checkpoint_dir, cut_lineage
 from labeltext.sources.files import jsonl_view
+from labeltext.sources.model_store import load_published, published
 from labeltext.sources.tables import corpus, manifest, read_table
 from labeltext.streaming.jobs import answered, drift_stream, read_messages, score_stream
 
@@ -569,6 +570,26 @@ def holdout_eval(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(report, *names).select("model", "rows", *names)
 
 
+@query
+def published_holdout(spark: SparkSession, folder: str) -> DataFrame:
+    """Two models trained, the better one by validation F2 published, loaded from the store and
+    evaluated on the holdout."""
+    by_phase = cut_lineage(phased(spark, folder))
+    splits = cut_lineage(preparation.modelling_table(by_phase))
+    run = training.train_and_compare(splits, ["dummy", "complement_nb"])
+    store = _fresh(spark, "models")
+    training.publish_best(run, store)
+    report = training.evaluate(
+        load_published(spark, store), {HOLDOUT: preparation.holdout_table(by_phase)}
+    )
+    chosen = published(spark, store).select(
+        F.col("models").alias("model"), F.col("value").alias("val_f2")
+    )
+    names = metrics.METRICS + metrics.RANKING_METRICS
+    joined = report.join(chosen, "model").select("model", "val_f2", "rows", *names)
+    return rounded(joined, "val_f2", *names)
+
+
 @query
 def scored_response(spark: SparkSession, folder: str) -> DataFrame:
     screened = scoring.screen(messages(spark, folder))

@@ -792,4 +792,23 @@ def _holdout_eval() -> str:
 SQL["holdout_eval"] = (["holdout"], _holdout_eval())
 SQL["holdout_eval"] = (["holdout", "h_report", "h_ranking"], SQL["holdout_eval"][1])
 
+CTE["val_predictions"] = (
+    "SELECT 'complement_nb' AS model, label, CAST(margin > 0 AS BIGINT) AS prediction FROM rest "
+    "JOIN rest_scores USING (raw_index) WHERE split = 'val' UNION ALL "
+    "SELECT 'dummy', label, (SELECT label FROM majority) FROM rest WHERE split = 'val'",
+    ["rest", "rest_scores", "majority"],
+)
+CTE["published"] = (
+    "SELECT model, coalesce(5 * tp / nullif(5 * tp + 4 * fn + fp, 0), 0) AS val_f2 FROM (SELECT model, "
+    "count(*) FILTER (label = 1 AND prediction = 1)::DOUBLE AS tp, count(*) FILTER (label = 0 AND "
+    "prediction = 1) AS fp, count(*) FILTER (label = 1 AND prediction = 0) AS fn FROM val_predictions "
+    "GROUP BY model) ORDER BY val_f2 DESC, model = 'dummy' DESC LIMIT 1",
+    ["val_predictions"],
+)
+SQL["published_holdout"] = (
+    ["holdout", "h_report", "h_ranking", "published"],
+    "SELECT model, round(val_f2, 9) AS val_f2, (SELECT count(*) FROM holdout) AS rows, "
+    f"{rounded_columns(METRICS)} FROM h_report JOIN h_ranking USING (model) JOIN published USING (model)",
+)
+
 ORACLE: dict[str, str] = {name: with_ctes(needs, body) for name, (needs, body) in SQL.items()}

@@ -6,15 +6,22 @@ import time
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labeltext.operators.classifiers import FittedModels, fit_models, predictions
+from labeltext.operators.classifiers import (
+    FittedModels,
+    fit_models,
+    load_models,
+    predictions,
+    save_models,
+)
 from labeltext.operators.features import TfidfParams
 from labeltext.operators.metrics import best_model, full_report, run_metrics
 from labeltext.schema import KEY, LABEL, MODEL_NAMES, PRIMARY_METRIC
 from labeltext.session import cut_lineage
 from labeltext.sources.files import append_rows
+from labeltext.sources.model_store import publish
 
 # Parameters of the two named sweep runs.
 SWEEP = [
@@ -52,6 +59,12 @@ def train_and_compare(
     return TrainingRun(models, scored, report, best)
 
 
+def publish_best(run: TrainingRun, store: str, metric: str = PRIMARY_METRIC) -> str:
+    """Publish the run's selected model with its validation metric; returns the version."""
+    row = run.report.where((F.col("split") == "val") & (F.col("model") == run.best)).first()
+    return publish(run.models.only(run.best), store, row[metric], metric)
+
+
 def evaluate(models: FittedModels, tables: dict[str, DataFrame]) -> DataFrame:
     """All metrics of all models on each named table (raw_index, text_combined, label)."""
     tagged = [df.select(KEY, "text_combined", LABEL).withColumn("slice", F.lit(name))
@@ -95,9 +108,12 @@ def sweep(
     path: str,
     runs: list[dict] = SWEEP,
     names: list[str] | None = None,
+    artifacts: str | None = None,
 ) -> DataFrame:
     """Train once per parameter set and append the metrics of each run, and how its fits
-    ended, to the run table."""
+    ended, to the run table. ``artifacts`` takes what each run made: all its models
+    (``run_models``) and its predictions, partitioned by run; a run of the same name replaces
+    its own only."""
     for run in runs:
         params = TfidfParams(
             max_features=run["max_features"],
@@ -107,11 +123,26 @@ def sweep(
         )
         options = {"logistic_regression": {"C": run["C"]}}
         result = train_and_compare(splits, names, params, options)
+        if artifacts is not None:
+            save_models(result.models, f"{artifacts}/models/run={run['name']}")
+            result.predictions.write.mode("overwrite").parquet(
+                f"{artifacts}/predictions/run={run['name']}"
+            )
         table = run_metrics(result.report, splits, run["name"])
         append_rows(table.unionByName(fit_outcome(result.models, run["name"])), path)
     return splits.sparkSession.read.parquet(path)
 
 
+def run_models(spark: SparkSession, artifacts: str, name: str) -> FittedModels:
+    """All models of a run of the sweep."""
+    return load_models(spark, f"{artifacts}/models/run={name}")
+
+
+def run_predictions(spark: SparkSession, artifacts: str) -> DataFrame:
+    """The val and test predictions of all runs; a filter on ``run`` reads that run only."""
+    return spark.read.parquet(f"{artifacts}/predictions")
+
+
 def scoring_throughput(
     df: DataFrame,
     models: FittedModels,
