@@ -17,11 +17,24 @@ from labeltext.schema import (
 )
 
 
+# The column that stands for the clean text where a table carries no text.
+DIGEST = "_digest"
+
+
 def _digest(text: Column) -> Column:
     """Stands for the text in grouping, so that no text is shuffled to find copies."""
     return F.sha2(text, 256)
 
 
+def text_digest(text: Column, min_length: int = MIN_TEXT_LENGTH) -> Column:
+    """Digest of the clean text, null if that is too short: all that deciding which rows stay
+    needs of a text. Taken where the texts are read, before any join, no text is shuffled."""
+    # As a lambda's argument the text is cleaned once.
+    return F.transform(
+        F.array(clean_text(text)), lambda t: F.when(F.length(t) >= min_length, _digest(t))
+    )[0]
+
+
 def _label_of(df: DataFrame, label: str) -> Column:
     """Normalised label; integer columns need no parsing."""
     if isinstance(df.schema[label].dataType, T.IntegralType):
@@ -54,14 +67,22 @@ def cleaned_rows(
     )
 
 
+def digested_rows(df: DataFrame, label: str = LABEL, keep: list[str] | None = None) -> DataFrame:
+    """``cleaned_rows`` for a table that has a ``DIGEST`` instead of texts."""
+    rows = df.select(*(keep or []), DIGEST, _label_of(df, label).alias(LABEL))
+    return rows.where(F.col(LABEL).isNotNull() & F.col(DIGEST).isNotNull())
+
+
 def distinct_keys(rows: DataFrame, key: str = KEY) -> DataFrame:
-    """(key, label) of one row per (text, label), the one with the smallest key.
+    """(key, label) of one row per (text, label), the one with the smallest key. ``rows`` have
+    a ``DIGEST`` or the clean text.
 
     Only digests are grouped: each map task sends one short row per distinct text, however
     often it occurs, and no text is shuffled."""
+    digest = F.col(DIGEST) if DIGEST in rows.columns else _digest(F.col(TEXT)).alias(DIGEST)
     return (
-        rows.select(key, LABEL, _digest(F.col(TEXT)).alias("_digest"))
-        .groupBy("_digest", LABEL)
+        rows.select(key, LABEL, digest)
+        .groupBy(DIGEST, LABEL)
         .agg(F.min(key).alias(key))
         .select(key, LABEL)
     )
@@ -103,13 +124,17 @@ def cleaning_summary(
     drop_duplicates: bool = True,
 ) -> DataFrame:
     """One row: raw, cleaned and removed rows and label counts of the cleaned table, from
-    one pass over digests."""
-    require_columns(df, [text, label])
-    cleaned = clean_text(F.col(text))
-    flags = df.select(cleaned.alias("_text"), _label_of(df, label).alias("_label")).select(
+    one pass over digests: those of a ``DIGEST`` column, if there is one, made with its own
+    ``min_length``."""
+    if DIGEST in df.columns:
+        digest = F.col(DIGEST)
+        require_columns(df, [label])
+    else:
+        require_columns(df, [text, label])
+        digest = text_digest(F.col(text), min_length)
+    flags = df.select(digest.alias("digest"), _label_of(df, label).alias("label")).select(
         F.when(
-            F.col("_label").isNotNull() & (F.length("_text") >= min_length),
-            F.struct(_digest(F.col("_text")).alias("digest"), F.col("_label").alias("label")),
+            F.col("label").isNotNull() & F.col("digest").isNotNull(), F.struct("digest", "label")
         ).alias("_kept")
     )
     groups = flags.groupBy("_kept").agg(F.count(F.lit(1)).alias("_rows"))
@@ -132,10 +157,12 @@ def cleaning_summary(
 
 def copies_across(df: DataFrame, slices: str, first: list[str], second: list[str]) -> DataFrame:
     """Rows of the ``second`` slices whose clean text also occurs in the ``first`` ones: the
-    phases are drawn before copies are dropped, so a holdout may hold training texts."""
+    phases are drawn before copies are dropped, so a holdout may hold training texts. ``df`` has
+    a ``DIGEST`` of every text, however short, or the texts."""
+    digest = F.col(DIGEST) if DIGEST in df.columns else text_digest(F.col(TEXT), 0).alias(DIGEST)
     groups = (
-        df.select(slices, _digest(clean_text(F.col(TEXT))).alias("_digest"))
-        .groupBy("_digest")
+        df.select(slices, digest)
+        .groupBy(DIGEST)
         .agg(
             F.count_if(F.col(slices).isin(first)).alias("_first"),
             F.count_if(F.col(slices).isin(second)).alias("_second"),

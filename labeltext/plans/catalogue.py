@@ -31,7 +31,7 @@ from labeltext.operators.manifest import label_by_source, number_blocks, source_
 from labeltext.operators.sampling import HOLDOUT, PHASE1, PHASE2
 from labeltext.plans import preparation, scoring, training
 from labeltext.plans.drift_report import drift_report
-from labeltext.schema import KEY, LABEL, MAX_FEATURES, SEED, SOURCE, TEXT
+from labeltext.schema import KEY, LABEL, MAX_FEATURES, MIN_TEXT_LENGTH, SEED, SOURCE, TEXT
 from labeltext.session import checkpoint_dir, cut_lineage
 from labeltext.sources.files import jsonl_view
 from labeltext.sources.model_store import load_published, published
@@ -56,6 +56,11 @@ def rounded(df: DataFrame, *columns: str, digits: int = 9) -> DataFrame:
 # ---- inputs ----------------------------------------------------------------------------
 
 
+def digested(min_length: int = MIN_TEXT_LENGTH) -> dict[str, Column]:
+    """Of a text only its digest, taken before the label join."""
+    return {prepare.DIGEST: prepare.text_digest(F.col("text"), min_length)}
+
+
 def phased(spark: SparkSession, folder: str, columns: dict[str, Column] | None = None) -> DataFrame:
     return sampling.phase_partition(corpus(spark, folder, columns))
 
@@ -171,19 +176,20 @@ def clean_dataset(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cleaning_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.cleaning_summary(corpus(spark, folder))
+    return prepare.cleaning_summary(corpus(spark, folder, digested()))
 
 
 @query
 def label_distribution(spark: SparkSession, folder: str) -> DataFrame:
     """Labels of the cleaned table. No text leaves the map side: digests are grouped."""
-    rows = prepare.cleaned_rows(corpus(spark, folder), keep=[KEY])
+    rows = prepare.digested_rows(corpus(spark, folder, digested()), keep=[KEY])
     return counts.distribution(prepare.distinct_keys(rows), LABEL)
 
 
 @query
 def copies_in_holdout(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.copies_across(phased(spark, folder), "phase", [PHASE1, PHASE2], [HOLDOUT])
+    rows = phased(spark, folder, digested(0))
+    return prepare.copies_across(rows, "phase", [PHASE1, PHASE2], [HOLDOUT])
 
 
 # ---- sampling and splitting ------------------------------------------------------------
@@ -214,7 +220,7 @@ def phase_partition(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def train_val_test_split(spark: SparkSession, folder: str) -> DataFrame:
-    return preparation.split_keys(phased(spark, folder))
+    return preparation.split_keys(phased(spark, folder, digested()))
 
 
 @query
@@ -229,7 +235,7 @@ def phase_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def split_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return counts.split_summary(preparation.split_keys(phased(spark, folder)))
+    return counts.split_summary(preparation.split_keys(phased(spark, folder, digested())))
 
 
 @query
@@ -535,7 +541,7 @@ def vocab_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dummy_predict(spark: SparkSession, folder: str) -> DataFrame:
-    keys = preparation.split_keys(phased(spark, folder))
+    keys = preparation.split_keys(phased(spark, folder, digested()))
     majority = majority_label(keys.where(F.col("split") == "train")).scalar()
     return keys.where(F.col("split") != "train").select(
         KEY, "split", LABEL, majority.alias("prediction"), majority.cast("double").alias("score")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labeltext.operators.prepare import cleaned_rows, distinct_keys
+from labeltext.operators.prepare import DIGEST, cleaned_rows, digested_rows, distinct_keys
 from labeltext.operators.quality import all_passed, validate_tagged
 from labeltext.operators.sampling import (
     HOLDOUT,
@@ -22,8 +22,13 @@ from labeltext.sources.files import export_jsonl, write_stage
 
 def split_keys(phased: DataFrame, min_length: int = MIN_TEXT_LENGTH) -> DataFrame:
     """(raw_index, label, split) of the cleaned modelling sample. Everything is decided on
-    this narrow table: texts are read once for their digests."""
-    rows = cleaned_rows(phase_rows(phased, SAMPLE), keep=[KEY], min_length=min_length)
+    this narrow table: texts are read once for their digests, or not at all if ``phased`` has
+    a ``DIGEST`` column, made with its own ``min_length``."""
+    sample = phase_rows(phased, SAMPLE)
+    if DIGEST in phased.columns:
+        rows = digested_rows(sample, keep=[KEY])
+    else:
+        rows = cleaned_rows(sample, keep=[KEY], min_length=min_length)
     return train_val_test_split(cut_lineage(distinct_keys(rows)))
 
 

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from labeltext.operators import prepare
 from labeltext.operators.counts import distribution
@@ -55,3 +56,35 @@ def test_copies_across(spark):
         "phase string, text_combined string",
     )
     assert tuple(prepare.copies_across(df, "phase", ["a"], ["b"]).first()) == (3, 2)
+
+
+def test_digests_decide_like_texts_and_no_text_is_shuffled(spark):
+    texts = ["Ab  c", "ab c", " AB C ", "x", "", None, "long enough", "long enough", "other"]
+    labels = [0, 0, 1, 0, 1, 1, 0, None, 7]
+    rows = [(k, *row) for k, row in enumerate(zip(texts, labels, strict=True))]
+    df = spark.createDataFrame(rows, "raw_index bigint, text_combined string, label bigint")
+    narrow = df.select("raw_index", "label", prepare.text_digest(F.col("text_combined")).alias(prepare.DIGEST))
+    by_text = prepare.distinct_keys(prepare.cleaned_rows(df, keep=["raw_index"]))
+    by_digest = prepare.distinct_keys(prepare.digested_rows(narrow, keep=["raw_index"]))
+    assert sorted(by_digest.collect()) == sorted(by_text.collect()) == [(0, 0), (2, 1), (6, 0)]
+    assert prepare.cleaning_summary(narrow).collect() == prepare.cleaning_summary(df).collect()
+    assert prepare.cleaning_summary(df).first().asDict() == {
+        "raw_rows": 9, "cleaned_rows": 3, "rows_removed": 6, "label_0": 2, "label_1": 1
+    }
+
+
+def test_queries_on_digests_move_no_text(spark):
+    from labeltext.plans.catalogue import QUERIES
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("label_distribution", "cleaning_summary"):
+            plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+            lines = plan.optimizedPlan().toString().splitlines()
+            join = next(k for k, line in enumerate(lines) if "Join" in line)
+            # Texts become digests below the join; nothing above it knows them.
+            assert not any("text" in line or "sha2" in line for line in lines[: join + 1]), name
+            assert any("sha2" in line for line in lines[join + 1 :]), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
