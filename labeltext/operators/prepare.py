@@ -69,7 +69,9 @@ def cleaned_rows(
 
 def digested_rows(df: DataFrame, label: str = LABEL, keep: list[str] | None = None) -> DataFrame:
     """``cleaned_rows`` for a table that has a ``DIGEST`` instead of texts."""
-    rows = df.select(*(keep or []), DIGEST, _label_of(df, label).alias(LABEL))
+    # Through a one-row array, as in ``cleaned_rows``: digests are made once, not for the filter too.
+    both = F.inline(F.array(F.struct(DIGEST, _label_of(df, label).alias(LABEL))))
+    rows = df.select(*(keep or []), both)
     return rows.where(F.col(LABEL).isNotNull() & F.col(DIGEST).isNotNull())
 
 
