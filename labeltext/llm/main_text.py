@@ -9,8 +9,10 @@ no dive parts from it. All lines of a region are kept, whatever their size, so t
 sections and the text around an advert stay.
 
 Links count nothing towards the sums, so menus that aren't marked never surge and long ones end
-a region. If the page marks its article, only lines inside it count; the mark vouches for them,
-so links count there too, any text is a surge, and nothing of it is dropped.
+a region. If the page marks its article, the sums run over the lines outside the marks too, but
+those count nothing, so that they part what is marked into regions; the mark vouches for the
+lines inside, so links count there too. A region of marked lines begins where the last one ended
+and is kept whole if it surges; marked teasers that stand apart from the article don't.
 
 A class or id that names what is no article is believed unless the block holds the page's first
 heading or a marked main part, or, where the name may also be that of a wrapper (``search``,
@@ -67,11 +69,13 @@ WORD = re.compile(r"[a-z]+")
 
 
 class Line(NamedTuple):
-    """A line's text, the characters of links in it, and whether it is a heading."""
+    """A line's text, the characters of links in it, whether it is a heading, and whether a
+    mark of the article holds it."""
 
     text: str
     linked: int
     heading: bool
+    marked: bool
 
 
 def _away(tag: str, attributes: str, in_article: bool) -> str:
@@ -158,11 +162,10 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
     skip_block = False
     inside: list[int] = []
     body = next((k for k, t in enumerate(tags) if t[3] == "body" and not t[2]), -1)
-    whole = not marked
 
     at = 0
     for k, (start, end, close, name, attributes) in enumerate([*tags, (len(page), len(page), "", "html", "")]):
-        shown = k > body and skip_to < 0 and not skip_block and (whole or inside)
+        shown = k > body and skip_to < 0 and not skip_block
         if shown and start > at:
             parts.append(page[at:start])
             if link_to >= 0:
@@ -180,7 +183,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
             if skip_block and not (close and name == "p" and skip_to >= 0):
                 skip_block = False
             if text := " ".join(html.unescape("".join(parts)).split()):
-                lines.append(Line(text, min(linked, len(text)), k <= heading_to))
+                lines.append(Line(text, min(linked, len(text)), k <= heading_to, bool(inside)))
             parts, linked = [], 0
         if inside and k == inside[-1]:
             inside.pop()
@@ -231,11 +234,14 @@ def main_text(page: str) -> str:
     lines, marked = lines_of(page)
     kept: list[str] = []
     if marked:
-        spans = regions([len(x.text) for x in lines], 1)
+        spans = regions([len(x.text) if x.marked else 0 for x in lines])
     else:
         spans = regions([len(x.text) - x.linked for x in lines])
     for last, start, end in spans:
-        while not marked and lines[start].linked == len(lines[start].text):
+        if marked:
+            kept += [x.text for x in lines[last:end] if x.marked]
+            continue
+        while lines[start].linked == len(lines[start].text):
             start += 1
         headings = [k for k in range(last, start) if lines[k].heading]
         kept += [x.text for x in lines[headings[0] if headings else start : end]]

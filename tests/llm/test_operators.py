@@ -434,6 +434,21 @@ def test_main_text_loses_no_block_of_the_article():
     assert read(f"<div class='comments'><p>{long}</p></div><p>x</p>") == "x"
 
 
+def test_main_text_surges_on_marked_pages():
+    read = main_text.main_text
+    long = SENTENCE * 3
+    teaser = "<article><h2>Next</h2><p>Short.</p></article>"
+    between = "<p>Tuesday</p><p>By line</p><p>Four minutes</p>"
+    article = f"<article><p>Lead.</p><p>{long}</p><p>End.</p></article>"
+    want = ["Lead.", long.strip(), "End."]
+    # What stands apart and never surges is no article; what a window still reaches is.
+    assert read(teaser + between + article + between + teaser).split("\n\n") == want
+    assert read(f"{article}<p>By line</p>{teaser}").split("\n\n") == [*want, "Next", "Short."]
+    # Two articles apart that surge both stay, and so does a short one if nothing surges higher.
+    assert read(article + between + article).split("\n\n") == want * 2
+    assert read(between + teaser + between).split("\n\n") == ["Next", "Short."]
+
+
 def test_main_text_surges_against_brute_force():
     py = random.Random(3)
     for _ in range(300):
