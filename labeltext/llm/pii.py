@@ -4,15 +4,17 @@ Four patterns with checks give the base spans: email, ip, card, phone. Two wide
 propose further, overlapping candidates: ``contact`` (addresses with a spelled-out at or dot)
 and ``number`` (any long group of digits). Boosted trees see a candidate's format (length,
 digits, groups, separators) and context (neighbouring characters, words before it), but not the
-checks. They are trained on candidates of a bounded sample of documents, whose labels say
-whether the candidate is a base span that passed its checks; per kind, a threshold
-is calibrated on the sample's other half, so that of what scores above it nearly all is true. Wide
+checks. They are trained on the base candidates of all documents, whose labels say whether the
+candidate passed its checks; per kind, a threshold is calibrated on all of them too, so that of
+what scores above it nearly all is true. For that, each half of the candidates is scored by trees
+that were fitted to the other half. (Spark ML takes the split points that its trees try from at
+least 10,000 rows.) Wide
 candidates above the threshold that don't overlap a base span are redacted too; base spans
 always stay. The trees are turned into an expression that is evaluated where the candidate was
 found: no row is moved and no Python runs.
 
 Spans count code points, end exclusive. Null text has no spans. Each row is judged by itself,
-whatever its ``doc_id``; other columns are ignored. If the sample has no candidates of either
+whatever its ``doc_id``; other columns are ignored. If either half lacks candidates of one
 label, no wide candidate is redacted."""
 
 from __future__ import annotations
@@ -25,7 +27,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_DOCS = 20_000
 TREES, DEPTH = 8, 3
 PRECISION = 0.9
 CONTEXT = 24
@@ -206,41 +207,50 @@ def _tree(lines: list[str]) -> object:
     return int(at), float(split), below, _tree(lines)
 
 
-def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Forest:
-    """Fit and calibrate on the candidates of about ``sample`` documents, chosen by hash."""
-    total = docs.count()
-    share = min(1.0, sample / max(total, 1))
-    picked = docs.where(
-        F.pmod(F.xxhash64(F.lit(3), "doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
-    )
-    found = candidates(picked)
-    rows = None
-    for kind in KINDS:
-        part = found.select(F.explode(kind).alias("c")).select(
-            F.lit(kind).alias("kind"),
-            _passes(kind, F.col("c.span")).cast("double").alias("label"),
-            *_features(F.col("c")),
-            (F.pmod(F.xxhash64("c.span", "c.before"), F.lit(2)) == 0).alias("fit"),
-        )
-        if kind == "card":
-            part = part.where("digits >= 7")
-        rows = part if rows is None else rows.union(part)
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
-    rows = rows.select("kind", "label", "fit", "features", *FEATURES).persist()
-    labels = {r[0] for r in rows.where("fit").groupBy("label").count().collect()}
-    if labels != {0.0, 1.0}:
-        rows.unpersist()
-        return Forest()
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, maxBins=32).fit(rows.where("fit"))
+def _grown(rows: DataFrame) -> Forest:
+    """Trees fitted to ``rows``, without thresholds."""
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, maxBins=32).fit(rows)
     forest = Forest(weights=[float(w) for w in model.treeWeights])
     for tree in model.trees:
         forest.trees.append(_tree(tree.toDebugString.splitlines()[1:]))
-    score = forest.score([F.col(name) for name in FEATURES])
-    group = F.when(F.col("kind") == "email", "contact").otherwise("number")
-    bins = rows.where("not fit").groupBy(group.alias("kind"), F.floor(score * 100).alias("bin")).agg(
-        F.count("*").alias("n"), F.sum("label").alias("true")
-    ).collect()
-    rows.unpersist()
+    return forest
+
+
+def training_rows(docs: DataFrame) -> DataFrame:
+    """kind, label, half and features of all base candidates of ``docs``."""
+    def tagged(kind: str) -> Column:
+        return F.transform(kind, lambda c: F.struct(F.lit(kind).alias("kind"), c.alias("c")))
+
+    found = candidates(docs).select(F.inline(F.concat(*map(tagged, KINDS))))
+    label = F.lit(False)
+    for kind in KINDS:
+        label = F.when(F.col("kind") == kind, _passes(kind, F.col("c.span"))).otherwise(label)
+    rows = found.select(
+        "kind",
+        label.cast("double").alias("label"),
+        F.pmod(F.xxhash64("c.span", "c.before"), F.lit(2)).alias("half"),
+        *_features(F.col("c")),
+    )
+    return rows.where("kind <> 'card' or digits >= 7")
+
+
+def train(docs: DataFrame) -> Forest:
+    """Fit and calibrate on the candidates of all documents."""
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(training_rows(docs))
+    rows = rows.persist()
+    try:
+        if rows.select("half", "label").distinct().count() < 4:
+            return Forest()
+        forest = _grown(rows)
+        halves = [_grown(rows.where(F.col("half") != k)) for k in (0, 1)]
+        first, second = (h.score([F.col(name) for name in FEATURES]) for h in halves)
+        score = F.when(F.col("half") == 0, first).otherwise(second)
+        group = F.when(F.col("kind") == "email", "contact").otherwise("number")
+        bins = rows.groupBy(group.alias("kind"), F.floor(score * 100).alias("bin")).agg(
+            F.count("*").alias("n"), F.sum("label").alias("true")
+        ).collect()
+    finally:
+        rows.unpersist()
     for kind in WIDE:
         n = true = 0.0
         for row in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
@@ -288,5 +298,5 @@ def find_personal_data(docs: DataFrame, forest: Forest) -> DataFrame:
     )
 
 
-def personal_data(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
-    return find_personal_data(docs, train(docs, sample))
+def personal_data(docs: DataFrame) -> DataFrame:
+    return find_personal_data(docs, train(docs))

@@ -518,6 +518,18 @@ def test_personal_data_equals_brute_force(spark, empty):
     assert more[7] == "number:5:19"
 
 
+def test_pii_learns_from_all_documents(spark):
+    n = 21_000
+    k = F.col("id")
+    text = F.when(k % 2 == 0, F.format_string("host 10.0.%d.%d", (k / 256).cast("int") % 256, k % 256))
+    docs = spark.range(n).select(k.alias("doc_id"), text.otherwise(F.format_string("host 10.0.%d.999", k)).alias("text"))
+    rows = pii.training_rows(docs).groupBy("kind", "label").count().collect()
+    assert {(r["kind"], r["label"], r["count"]) for r in rows} >= {("ip", 1.0, n // 2), ("ip", 0.0, n // 2)}
+    forest = pii.train(docs)
+    assert len(forest.trees) == len(forest.weights) == pii.TREES and "number" in forest.thresholds
+    assert pii.train(docs.where("doc_id % 2 = 0")) == pii.Forest()
+
+
 def test_language_model_is_exact_and_learns(spark, empty):
     rng = np.random.default_rng(2)
     scores, move = rng.normal(size=(7, 2)), rng.normal(size=(2, 2))
