@@ -11,6 +11,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from labeltext.functions.batches import pieces, release
+
+# Bytes of texts whose accents are folded at a time; a longer text is a piece of its own.
+PIECE_BYTES = 1 << 20
+
 # Character classes that decide the results.
 WHITESPACE = r"[\p{IsWhite_Space}\x1c-\x1f]+"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -72,11 +77,19 @@ def fold_accents(column: Column) -> Column:
     decomposed by Python's tables (Arrow's are of another Unicode version), a text at a time."""
     marks = _combining()
 
-    @F.arrow_udf("string")
-    def fold_rows(texts: pa.Array) -> pa.Array:
+    def folded(texts: pa.Array) -> pa.Array:
         plain = [t if t is None else unicodedata.normalize("NFKD", t) for t in texts.to_pylist()]
         return pc.replace_substring_regex(pa.array(plain, pa.string()), marks, "")
 
+    @F.arrow_udf("string")
+    def fold_rows(texts: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+        parts = [folded(texts.slice(a, b - a)) for a, b in pieces(sizes, PIECE_BYTES)]
+        out = pa.concat_arrays(parts) if parts else folded(texts)
+        del parts
+        release()
+        return out
+
     return F.coalesce(fold_rows(F.when(~column.rlike(ASCII), column)), column)
 
 

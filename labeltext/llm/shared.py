@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labeltext.functions.batches import releasing
 from labeltext.session import checkpoint_dir, cut_lineage
 
 SLABS = 64
@@ -39,22 +39,6 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def releasing(work: Callable) -> Callable:
-    """``work`` on Arrow batches, after which its process gives memory back to the system.
-    Spark keeps Python processes for later tasks; what they hold counts against the executor."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from work(batches)
-        finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
-
-    return run
-
-
 def count_cells(
     df: DataFrame, cells: int, cells_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]]
 ) -> np.ndarray:

@@ -2,7 +2,7 @@
 
 The vocabulary comes from map-side partial sums per term; it is bounded by ``max_features``.
 Applying it is a map over the rows: Spark tokenises, an Arrow stage looks all n-grams of a batch
-up in the vocabulary and adds up each document. No text, token or key is shuffled, and rows
+up in the vocabulary, a piece of bounded size at a time, and adds up each document. No text, token or key is shuffled, and rows
 with equal or null keys are documents of their own."""
 
 from __future__ import annotations
@@ -18,9 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labeltext.functions.batches import pieces, releasing
 from labeltext.functions.text import analyzed_text, tokens
 from labeltext.schema import KEY, MAX_DF, MAX_FEATURES, MIN_DF, NGRAM_RANGE, TEXT
 
+# Tokens that are looked up at a time; a longer text is a piece of its own.
+PIECE_TOKENS = 1 << 17
+
 
 @dataclass(frozen=True)
 class TfidfParams:
@@ -159,6 +163,14 @@ class Lookup:
         return doc, row, (1.0 + np.log(tf)) * self.idf[row]
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``PIECE_TOKENS`` tokens, which are the last column."""
+    for batch in batches:
+        many = pc.fill_null(pc.list_value_length(batch.column(batch.num_columns - 1)), 0)
+        for start, end in pieces(many.to_numpy(), PIECE_TOKENS):
+            yield batch.slice(start, end - start)
+
+
 def document_weights(
     df: DataFrame,
     vocab: DataFrame,
@@ -172,7 +184,7 @@ def document_weights(
     rows = df.select(*keep, _tokens(params, text).alias(free_name(keep, "tokens")))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             doc, row, weight = lookup.weights(batch.column(len(keep)))
             length = np.sqrt(np.bincount(doc, weight * weight, batch.num_rows))
             ends = np.cumsum(np.bincount(doc, minlength=batch.num_rows))
@@ -188,7 +200,7 @@ def document_weights(
         T.StructField("indices", T.ArrayType(T.IntegerType())),
         T.StructField("values", T.ArrayType(T.DoubleType())),
     ]
-    return rows.mapInArrow(apply, T.StructType(kinds))
+    return rows.mapInArrow(releasing(apply), T.StructType(kinds))
 
 
 def document_sums(
@@ -207,7 +219,7 @@ def document_sums(
     rows = df.select(*keep, _tokens(params, text).alias(free_name(keep, "tokens")))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             doc, row, weight = lookup.weights(batch.column(len(keep)))
             length = np.sqrt(np.bincount(doc, weight * weight, batch.num_rows))
             length[length == 0] = 1.0
@@ -218,7 +230,7 @@ def document_sums(
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *sums], [*keep, *names])
 
     kinds = [*df.select(*keep).schema.fields, *[T.StructField(c, T.DoubleType()) for c in names]]
-    return rows.mapInArrow(apply, T.StructType(kinds))
+    return rows.mapInArrow(releasing(apply), T.StructType(kinds))
 
 
 def tfidf_weights(
@@ -254,4 +266,4 @@ def feature_vectors(arrays: DataFrame, n_features: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, vector], [*names, "features"])
 
     kinds = [*arrays.schema.fields, T.StructField("features", VectorUDT())]
-    return arrays.mapInArrow(sparse, T.StructType(kinds))
+    return arrays.mapInArrow(releasing(sparse), T.StructType(kinds))

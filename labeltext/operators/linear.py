@@ -21,6 +21,7 @@ from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labeltext.functions.batches import pieces, releasing
 from labeltext.schema import LABEL
 
 LOSSES = ("log", "squared_hinge")
@@ -28,6 +29,8 @@ LOSSES = ("log", "squared_hinge")
 HISTORY = 50
 # Gradients that are added up at a time.
 MERGE_WIDTH = 64
+# Numbers of a block at most; a row with more is a block of its own.
+BLOCK_VALUES = 1 << 17
 # Columns of a block and the type of the numbers in each buffer.
 BLOCK = {
     "starts": np.int64, "ids": np.int32, "values": np.float64, "sign": np.float64,
@@ -48,23 +51,24 @@ class Fit(NamedTuple):
 
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow batches of feature arrays -> rows of raw buffers (row starts, ids, values,
-    signed labels, row weights)."""
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        ids, values = batch.column(0), batch.column(1)
-        starts = np.asarray(ids.offsets, dtype=np.int64)
-        parts = (
-            starts - starts[0],
-            np.asarray(ids.flatten(), dtype=np.int32),
-            np.asarray(values.flatten(), dtype=np.float64),
-            np.asarray(batch.column(2), dtype=np.float64),
-            np.asarray(batch.column(3), dtype=np.float64),
-        )
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p.tobytes()], pa.binary()) for p in parts],
-            list(BLOCK),
-        )
+    signed labels, row weights), at most ``BLOCK_VALUES`` ids each."""
+    for whole in batches:
+        many = np.diff(np.asarray(whole.column(0).offsets, dtype=np.int64))
+        for start, end in pieces(many, BLOCK_VALUES):
+            batch = whole.slice(start, end - start)
+            ids, values = batch.column(0), batch.column(1)
+            starts = np.asarray(ids.offsets, dtype=np.int64)
+            parts = (
+                starts - starts[0],
+                np.asarray(ids.flatten(), dtype=np.int32),
+                np.asarray(values.flatten(), dtype=np.float64),
+                np.asarray(batch.column(2), dtype=np.float64),
+                np.asarray(batch.column(3), dtype=np.float64),
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p.tobytes()], pa.binary()) for p in parts],
+                list(BLOCK),
+            )
 
 
 def _block_sums(blocks: Iterator[tuple], point: np.ndarray, loss: str):
@@ -121,7 +125,7 @@ def training_blocks(features: DataFrame, balanced: bool = True) -> RDD:
         "values",
         F.when(positive, 1.0).otherwise(-1.0).alias("sign"),
         F.when(positive, by_label[1]).otherwise(by_label[0]).alias("weight"),
-    ).mapInArrow(_to_blocks, ", ".join(f"{name} binary" for name in BLOCK))
+    ).mapInArrow(releasing(_to_blocks), ", ".join(f"{name} binary" for name in BLOCK))
     return blocks.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
 
 

@@ -3,10 +3,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from labeltext.operators import features
+from labeltext.functions import batches
+from labeltext.functions.text import fold_accents
+from labeltext.operators import features, linear
 from labeltext.operators.classifiers import (
     FittedModels,
     Head,
@@ -342,3 +345,45 @@ def test_every_row_is_scored_alone(spark, train):
     assert got[None, "prize money now"]["score"] == got[4, "prize money now"]["score"] > 0.5
     assert got[None, "team notes"]["score"] < 0.5
     assert got[4, None]["score"] == got[4, ""]["score"] == got[5, "zzz"]["score"]
+
+
+def test_tasks_hold_pieces_of_bounded_size(spark, monkeypatch):
+    """However many rows a batch has, arrays of few tokens, bytes and ids are made of it."""
+    assert list(batches.pieces(np.array([3, 0, 9, 1, 1, 1, 4]), 3)) == [(0, 2), (2, 3), (3, 6), (6, 7)]
+    assert list(batches.pieces(np.array([], int), 3)) == []
+    sizes, whole = [], features.Lookup.weights
+
+    def seen(self, lists):
+        sizes.append(len(lists.flatten()))
+        return whole(self, lists)
+
+    monkeypatch.setattr(features.Lookup, "weights", seen)
+    monkeypatch.setattr(features, "PIECE_TOKENS", 100)
+    lists = pa.array([["a", "b"] * (k % 30) for k in range(200)] + [None, []], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(202)), lists], ["key", "tokens"])
+    vocab = spark.createDataFrame([("a", 0, 1.5), ("a b", 1, 2.0)], "term string, term_id long, idf double")
+    lookup = features.Lookup(vocab)
+    found = [lookup.weights(p.column(1)) for p in features._pieces(iter([batch]))]
+    assert max(sizes) <= 100 and sum(sizes) == len(lists.flatten())
+    want = whole(lookup, lists)
+    for k in (1, 2):
+        assert np.array_equal(np.concatenate([f[k] for f in found]), want[k])
+
+    monkeypatch.setattr(linear, "BLOCK_VALUES", 100)
+    rows = [(list(range(k % 30)), [1.0] * (k % 30), 1.0, 2.0) for k in range(200)]
+    names = ["indices", "values", "sign", "weight"]
+    table = pa.table({n: [r[k] for r in rows] for k, n in enumerate(names)}).combine_chunks()
+    blocks = [b.to_pylist()[0] for b in linear._to_blocks(iter(table.to_batches()))]
+    ids = [np.frombuffer(b["ids"], np.int32) for b in blocks]
+    assert max(map(len, ids)) <= 100
+    assert np.concatenate(ids).tolist() == [i for r in rows for i in r[0]]
+    lengths = np.concatenate([np.diff(np.frombuffer(b["starts"], np.int64)) for b in blocks])
+    assert lengths.tolist() == [k % 30 for k in range(200)]
+
+
+def test_accents_fold_in_pieces(spark):
+    long = "\u00e9t\u00e9 " * 400_000
+    rows = [(0, long), (1, "na\u00efve"), (2, None), (3, "plain"), (4, ""), (5, long)]
+    table = spark.createDataFrame(rows, "k int, t string").coalesce(1)
+    got = dict(table.select("k", fold_accents(F.col("t"))).collect())
+    assert got == {0: "ete " * 400_000, 1: "naive", 2: None, 3: "plain", 4: "", 5: "ete " * 400_000}
