@@ -1,7 +1,8 @@
 """Arrow batches of any size worked on in pieces of bounded size, and memory given back.
 
 Spark fills a batch by rows, so its size follows from the rows' lengths and, in small tables,
-their number. Tasks cut it into pieces before they make arrays of it."""
+their number. ``bounded`` ends batches at a number of bytes too, and tasks cut them into pieces
+before they make arrays of them."""
 
 from __future__ import annotations
 
@@ -10,6 +11,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+
+# Bytes at which Spark ends an Arrow batch; a longer row is a batch of its own.
+BATCH_BYTES = 1 << 23
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on ends Arrow batches at ``BATCH_BYTES``, by Spark's own
+    setting, which is read when a plan runs. A value that the user set stays."""
+    settings = df.sparkSession.conf
+    if settings.get(BATCH_SETTING, None) is None:
+        settings.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df
 
 
 def pieces(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labeltext.functions.batches import pieces, releasing
+from labeltext.functions.batches import bounded, pieces, releasing
 from labeltext.functions.text import analyzed_text, tokens
 from labeltext.schema import KEY, MAX_DF, MAX_FEATURES, MIN_DF, NGRAM_RANGE, TEXT
 
@@ -58,7 +58,7 @@ def term_totals(
     """term, tf (corpus count) and df (documents). Each text gives its terms and its distinct
     terms, both summed up by term with map-side partial sums; no text and no per-document count
     is shuffled."""
-    grams = df.select(_tokens(params, text)).select(
+    grams = bounded(df).select(_tokens(params, text)).select(
         _grams("_tokens", *params.ngram_range).alias("_grams")
     )
     both = F.array(
@@ -181,7 +181,7 @@ def document_weights(
     """A row per row of ``df``: kept columns, ``indices`` (term ids, rising) and ``values``:
     sublinear tf times idf, scaled to length 1. Both are empty without a known term."""
     lookup, keep = Lookup(vocab), keep or [KEY]
-    rows = df.select(*keep, _tokens(params, text).alias(free_name(keep, "tokens")))
+    rows = bounded(df).select(*keep, _tokens(params, text).alias(free_name(keep, "tokens")))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches):
@@ -216,7 +216,7 @@ def document_sums(
     named like its column, or ``free_name`` if a kept column has that name."""
     lookup, keep = Lookup(vocab, columns), keep or [KEY]
     names = [free_name(keep, c) for c in columns]
-    rows = df.select(*keep, _tokens(params, text).alias(free_name(keep, "tokens")))
+    rows = bounded(df).select(*keep, _tokens(params, text).alias(free_name(keep, "tokens")))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches):
@@ -266,4 +266,4 @@ def feature_vectors(arrays: DataFrame, n_features: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, vector], [*names, "features"])
 
     kinds = [*arrays.schema.fields, T.StructField("features", VectorUDT())]
-    return arrays.mapInArrow(releasing(sparse), T.StructType(kinds))
+    return bounded(arrays).mapInArrow(releasing(sparse), T.StructType(kinds))

@@ -21,7 +21,7 @@ from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labeltext.functions.batches import pieces, releasing
+from labeltext.functions.batches import bounded, pieces, releasing
 from labeltext.schema import LABEL
 
 LOSSES = ("log", "squared_hinge")
@@ -120,7 +120,7 @@ def training_blocks(features: DataFrame, balanced: bool = True) -> RDD:
     returns one pair per partition; a DataFrame job per step takes twice as long."""
     by_label = class_weights(features) if balanced else {0: 1.0, 1: 1.0}
     positive = F.col(LABEL) == 1
-    blocks = features.select(
+    blocks = bounded(features).select(
         "indices",
         "values",
         F.when(positive, 1.0).otherwise(-1.0).alias("sign"),

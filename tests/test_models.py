@@ -381,6 +381,35 @@ def test_tasks_hold_pieces_of_bounded_size(spark, monkeypatch):
     assert lengths.tolist() == [k % 30 for k in range(200)]
 
 
+def test_batches_end_at_bytes(spark, monkeypatch):
+    """Long rows: a task is handed few of them at a time."""
+    cut = features._pieces
+
+    def seen(found):
+        for batch in found:
+            assert batch.nbytes < 2 * most, f"a batch of {batch.nbytes} bytes"
+            yield from cut(iter([batch]))
+
+    most = 1 << 23
+    monkeypatch.setattr(features, "_pieces", seen)
+    long = F.repeat(F.lit("prize money now "), 5_000)
+    table = spark.range(600, numPartitions=1).select(
+        F.col("id").alias("raw_index"), F.when(F.col("id") % 2 == 0, long).otherwise("team").alias("text_combined")
+    )
+    vocab = spark.createDataFrame([("prize", 0, 1.5, 2.0)], "term string, term_id long, idf double, w double")
+    sums = features.document_sums(table, vocab, ["w"], keep=["raw_index", "text_combined"])
+    assert dict(sums.groupBy("w").count().collect()) == {2.0: 300, 0.0: 300}
+    weights = features.document_weights(table, vocab)
+    assert weights.where(F.size("indices") == 1).count() == 300
+    spark.conf.set(batches.BATCH_SETTING, "1m")
+    assert batches.bounded(table) is table and spark.conf.get(batches.BATCH_SETTING) == "1m"
+    spark.conf.unset(batches.BATCH_SETTING)
+    sizes = batches.bounded(table).mapInArrow(
+        lambda found: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in found), "n long"
+    )
+    assert 2 < sizes.count() < 10
+
+
 def test_accents_fold_in_pieces(spark):
     long = "\u00e9t\u00e9 " * 400_000
     rows = [(0, long), (1, "na\u00efve"), (2, None), (3, "plain"), (4, ""), (5, long)]
